@@ -1,0 +1,6 @@
+"""Left empty on purpose.
+
+The job this library re-expresses is batch only: it has no watermark, window or keyed state, so there is no streaming
+operator to build. The column helpers in :mod:`traitloom.functions` are plain expressions and also work on a streaming
+DataFrame.
+"""
