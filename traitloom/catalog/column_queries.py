@@ -58,7 +58,7 @@ def proj_prefix_rename(spark, sf_dir):
 @query(
     "proj_insert_at",
     """SELECT 'orders' AS origin, o_orderkey, o_custkey, o_orderstatus, o_totalprice / 2 AS half_price, o_totalprice,
-    year(o_orderdate) AS order_year, o_orderpriority FROM orders""",
+    CAST(year(o_orderdate) AS INT) AS order_year, o_orderpriority FROM orders""",
 )
 def proj_insert_at(spark, sf_dir):
     df = insert_at(table(spark, sf_dir, "orders"), "half_price", F.col("o_totalprice") / 2, before="o_totalprice")

@@ -13,7 +13,6 @@ from __future__ import annotations
 import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 RUN_DATE = datetime.date(2022, 11, 9)
 
@@ -32,7 +31,8 @@ _SPECIES = """CASE o_orderstatus
 _SEASON = """CASE WHEN month(o_orderdate) IN (12, 1, 2) THEN 'Winter' WHEN month(o_orderdate) IN (3, 4, 5) THEN 'Spring'
     WHEN month(o_orderdate) IN (6, 7, 8) THEN 'Summer' ELSE 'Autumn' END"""
 
-_PRICE = "CAST(CAST(floor(o_totalprice) AS BIGINT) AS STRING)"
+# Whole thousands: means in the target unit are then sums of integers, which no order of addition changes.
+_PRICE = "CAST(CAST(floor(o_totalprice / 1000) * 1000 AS BIGINT) AS STRING)"
 
 # TraitID, TraitName, DataName, OrigValueStr, OrigUnitStr; the last two are expressions.
 _RECORDS = [
@@ -84,19 +84,14 @@ _OBSERVATION = "o_orderpriority"
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = [
-        F.struct(
-            F.lit(trait_id).alias("TraitID"),
-            F.lit(trait).alias("TraitName"),
-            F.lit(name).alias("DataName"),
-            F.expr(value).alias("OrigValueStr"),
-            F.expr(unit).alias("OrigUnitStr"),
-        )
+    rows = ", ".join(
+        f"""struct({trait_id} AS TraitID, '{trait}' AS TraitName, '{name}' AS DataName, {value} AS OrigValueStr,
+        {unit} AS OrigUnitStr)"""
         for trait_id, trait, name, value, unit in _RECORDS
-    ]
+    )
     return (
         table(spark, sf_dir, "orders")
-        .select(F.expr(_SPECIES).alias("AccSpeciesName"), F.expr(_OBSERVATION).alias("ObsID"), F.explode(F.array(*rows)).alias("r"))
+        .selectExpr(f"{_SPECIES} AS AccSpeciesName", f"{_OBSERVATION} AS ObsID", f"explode(array({rows})) AS r")
         .select("r.TraitID", "AccSpeciesName", "r.TraitName", "r.DataName", "r.OrigValueStr", "r.OrigUnitStr", "ObsID")
     )
 
@@ -157,7 +152,7 @@ _CURATED = {
 
 
 def curated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(*[F.expr(e).alias(name) for name, e in _CURATED.items()])
+    return table(spark, sf_dir, "customer").selectExpr(*[f"{e} AS `{name}`" for name, e in _CURATED.items()])
 
 
 CURATED_SQL = (
@@ -190,7 +185,7 @@ SITES = ("AND", "ADK", "CDR", "HBR", "CWT", "HFR", "BNZ", "SEV", "LUQ")
 
 
 def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(*[F.expr(e).alias(name) for name, e in _FLAGGED.items()])
+    return table(spark, sf_dir, "lineitem").selectExpr(*[f"{e} AS `{name}`" for name, e in _FLAGGED.items()])
 
 
 FLAGGED_SQL = (

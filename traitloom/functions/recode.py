@@ -12,26 +12,41 @@ from traitloom.functions.nulls import if_else, is_in
 MONTH_NAMES = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 
 
+def lookup(column: Column, mapping: Mapping[str, str | float]) -> Column:
+    """The mapped value, NULL for anything not in the mapping.
+
+    A constant map, not a chain of CASE arms: the generated code stays the same size however many entries there are.
+    Long chains push the method past the size the JVM is willing to compile, and the whole stage then runs interpreted.
+    """
+    if not mapping:
+        return F.lit(None)
+    return F.create_map(*[F.lit(part) for item in mapping.items() for part in item])[column]
+
+
 def recode(column: Column, mapping: Mapping[str, str]) -> Column:
     """Replace exact values, keep everything else."""
-    out = None
-    for old, new in mapping.items():
-        out = (F if out is None else out).when(column == old, F.lit(new))
-    return column if out is None else out.otherwise(column)
+    if not mapping:
+        return column
+    return F.coalesce(lookup(column, mapping), column)
+
 
+def decode_month(
+    value: Column, unit: Column, fixes: Mapping[str, str] | None = None, month_unit: str = "month"
+) -> Column:
+    """``1`` .. ``12`` become month names where the unit says month; ``01`` and ``5.5`` stay as they are.
 
-def decode_month(value: Column, unit: Column, month_unit: str = "month") -> Column:
-    """``1`` .. ``12`` become month names where the unit says month; ``01`` and ``5.5`` stay as they are."""
+    With ``fixes`` the result is that of ``recode`` followed by decoding, in one step: both look at the raw value once.
+    """
+    fixes = fixes or {}
     names = {str(i): name for i, name in enumerate(MONTH_NAMES, start=1)}
-    return F.when(unit == month_unit, recode(value, names)).otherwise(value)
+    months = {raw: names[raw] for raw in names if raw not in fixes}
+    months.update({raw: names[fixed] for raw, fixed in fixes.items() if fixed in names})
+    return F.coalesce(F.when(unit == month_unit, lookup(value, months)), recode(value, fixes))
 
 
 def label(column: Column, labels: Mapping[str, Sequence[str]]) -> Column:
     """Many-to-one: the label whose name list holds the value, NULL when none does."""
-    out = None
-    for name, members in labels.items():
-        out = (F if out is None else out).when(column.isin(list(members)), F.lit(name))
-    return F.lit(None).cast("string") if out is None else out
+    return lookup(column, {member: name for name, members in labels.items() for member in members}).cast("string")
 
 
 def override_in(key: Column, keys: Sequence[str], value: str, column: Column) -> Column:

@@ -12,32 +12,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def ref(name: str) -> Column:
     """Column by its exact name, dots included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
+
+
+def project(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """Columns in the given order. Passed as text: building a ``Column`` per name is slow for wide tables."""
+    return df.selectExpr(*[quoted(name) for name in names])
 
 
 def require(df: DataFrame, names: Iterable[str]) -> None:
-    missing = [name for name in dict.fromkeys(names) if name not in df.columns]
+    known = df.columns
+    missing = [name for name in dict.fromkeys(names) if name not in known]
     if missing:
-        raise ValueError(f"no such column: {', '.join(missing)}; the table has {', '.join(df.columns)}")
+        raise ValueError(f"no such column: {', '.join(missing)}; the table has {', '.join(known)}")
 
 
 def keep(df: DataFrame, names: Sequence[str]) -> DataFrame:
     require(df, names)
-    return df.select(*[ref(name) for name in names])
+    return project(df, names)
 
 
 def drop_strict(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Remove columns; an unknown name is an error, naming one twice is not."""
     require(df, names)
     gone = set(names)
-    return df.select(*[ref(name) for name in df.columns if name not in gone])
+    return project(df, [name for name in df.columns if name not in gone])
 
 
 def drop_prefix(df: DataFrame, prefix: str) -> DataFrame:
     """Remove every column whose name starts with the prefix, upper or lower case."""
-    return df.select(*[ref(name) for name in df.columns if not name.lower().startswith(prefix.lower())])
+    return project(df, [name for name in df.columns if not name.lower().startswith(prefix.lower())])
 
 
 def rename_strict(df: DataFrame, new_names: Mapping[str, str]) -> DataFrame:
@@ -46,7 +56,7 @@ def rename_strict(df: DataFrame, new_names: Mapping[str, str]) -> DataFrame:
     result = [new_names.get(name, name) for name in df.columns]
     if len(set(result)) != len(result):
         raise ValueError(f"renaming would repeat a column name: {result}")
-    return df.select(*[ref(old).alias(new) for old, new in zip(df.columns, result)])
+    return df.toDF(*result)
 
 
 def prefix_names(
@@ -77,7 +87,7 @@ def insert_at(
     A column that already exists is replaced and moved.
     """
     order = _place(list(df.columns), name, before, after)
-    return df.select(*[value.alias(name) if n == name else ref(n) for n in order])
+    return project(df.withColumn(name, value), order)
 
 
 def relocate(df: DataFrame, moves: Sequence[tuple[str, str]]) -> DataFrame:
@@ -86,4 +96,4 @@ def relocate(df: DataFrame, moves: Sequence[tuple[str, str]]) -> DataFrame:
     order = list(df.columns)
     for name, after in moves:
         order = _place(order, name, None, after)
-    return df.select(*[ref(name) for name in order])
+    return project(df, order)

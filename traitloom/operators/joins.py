@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from traitloom.operators.columns import ref, rename_strict, require
+from traitloom.operators.columns import project, ref, rename_strict, require
 
 
 def left_enrich(left: DataFrame, right: DataFrame, on: str = "species") -> DataFrame:
@@ -21,11 +21,11 @@ def left_enrich(left: DataFrame, right: DataFrame, on: str = "species") -> DataF
     require(left, [on])
     require(right, [on])
     shared = [name for name in left.columns if name != on and name in right.columns]
-    left = rename_strict(left, {name: f"{name}.x" for name in shared})
-    right = rename_strict(right, {name: f"{name}.y" for name in shared})
-    return left.join(right, on, "left").select(
-        *[ref(name) for name in left.columns], *[ref(name) for name in right.columns if name != on]
-    )
+    if shared:
+        left = rename_strict(left, {name: f"{name}.x" for name in shared})
+        right = rename_strict(right, {name: f"{name}.y" for name in shared})
+    order = [*left.columns, *[name for name in right.columns if name != on]]
+    return project(left.join(right, on, "left"), order)
 
 
 def left_enrich_all(left: DataFrame, rights: Sequence[DataFrame], on: str = "species") -> DataFrame:

@@ -1,7 +1,7 @@
 """Descriptive statistics and frequencies, overall and per membership.
 
-Memberships are 0/1 columns that overlap (a row counts in each group it belongs to), so they are conditions of one
-aggregation rather than a grouping key: the table is read once however many groups and variables there are.
+Memberships are 0/1 columns that overlap: a row counts in each group it belongs to. The table is read once, however
+many groups and variables there are.
 """
 
 from __future__ import annotations
@@ -13,52 +13,63 @@ from pyspark.sql import functions as F
 
 from traitloom.operators.columns import keep, ref
 
-OVERALL = ""
+STATISTICS = ("n", "min", "max", "mean", "sd")
 
 
-def _numeric_by_scope(df: DataFrame, columns: Sequence[str], scopes: dict[str, Column], digits: int) -> DataFrame:
-    """(scope, variable, n, min, max, mean, sd) from one aggregation without a key.
+def _values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns as doubles; neither a missing value nor a NaN is a value."""
+    for name in columns:
+        value = ref(name).cast("double")
+        df = df.withColumn(name, F.when(~F.isnan(value), value))
+    return df
+
+
+def _aggregates(columns: Sequence[str]) -> list[Column]:
+    out = []
+    for i, name in enumerate(columns):
+        value = ref(name)
+        results = (F.count(value), F.min(value), F.max(value), F.avg(value), F.stddev_samp(value))
+        out += [result.alias(f"v{i}_{statistic}") for result, statistic in zip(results, STATISTICS)]
+    return out
 
-    Every task sends a single row of partial results; only after that are the results laid out as rows. A variable with
-    no value in a scope has no row there.
-    """
-    values = {name: ref(name).cast("double") for name in columns}
-    # Neither a missing value nor a NaN is a value.
-    values = {name: F.when(~F.isnan(v), v) for name, v in values.items()}
-    aggregates, rows = [], []
-    for i, (scope, member) in enumerate(scopes.items()):
-        for j, (name, value) in enumerate(values.items()):
-            own = value if scope == OVERALL else F.when(member, value)
-            cell = f"s{i}_{j}"
-            aggregates += [
-                F.count(own).alias(f"{cell}_n"),
-                F.min(own).alias(f"{cell}_min"),
-                F.max(own).alias(f"{cell}_max"),
-                F.avg(own).alias(f"{cell}_mean"),
-                F.stddev_samp(own).alias(f"{cell}_sd"),
-            ]
-            rows.append(
-                F.struct(
-                    F.lit(scope).alias("scope"),
-                    F.lit(name).alias("variable"),
-                    F.col(f"{cell}_n").alias("n"),
-                    *[F.round(F.col(f"{cell}_{s}"), digits).alias(s) for s in ("min", "max", "mean", "sd")],
-                )
-            )
-    return df.agg(*aggregates).select(F.explode(F.array(*rows)).alias("r")).select("r.*").filter("n > 0")
+
+def _as_rows(wide: DataFrame, columns: Sequence[str], digits: int, keys: Sequence[str] = ()) -> DataFrame:
+    """One row per variable; a variable without values has none. The input has one row per membership."""
+    rows = [
+        F.struct(
+            F.lit(name).alias("variable"),
+            F.col(f"v{i}_n").alias("n"),
+            *[F.round(f"v{i}_{statistic}", digits).alias(statistic) for statistic in STATISTICS[1:]],
+        )
+        for i, name in enumerate(columns)
+    ]
+    return wide.select(*keys, F.explode(F.array(*rows)).alias("row")).select(*keys, "row.*").filter("n > 0")
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str], digits: int = 3) -> DataFrame:
-    """n, min, max, mean and sample standard deviation of each column."""
-    return _numeric_by_scope(df, columns, {OVERALL: F.lit(True)}, digits).drop("scope")
+    """n, min, max, mean and sample standard deviation of each column.
+
+    One aggregation without a key: every task sends a single row.
+    """
+    return _as_rows(_values(df, columns).agg(*_aggregates(columns)), columns, digits)
 
 
 def numeric_profile_by_flag(
     df: DataFrame, columns: Sequence[str], flags: Sequence[str], digits: int = 3, tag: str = "site"
 ) -> DataFrame:
-    """The same per membership, its name in the first column."""
-    scopes = {flag: ref(flag) == 1 for flag in flags}
-    return _numeric_by_scope(df, columns, scopes, digits).withColumnRenamed("scope", tag)
+    """The same per membership, its name in the first column.
+
+    A row is repeated for the groups it belongs to, inside the task, and folded into that group's partial result; what
+    is shuffled is one row per task and group.
+    """
+    member = "__member"
+    memberships = (
+        _values(df, columns)
+        .select(*[ref(name) for name in columns], *[(ref(flag) == 1).alias(flag) for flag in flags])
+        .unpivot([ref(name) for name in columns], [ref(flag) for flag in flags], tag, member)
+        .filter(member)
+    )
+    return _as_rows(memberships.groupBy(tag).agg(*_aggregates(columns)), columns, digits, [tag])
 
 
 def frequency_table(df: DataFrame, columns: Sequence[str], flags: Sequence[str] = ()) -> DataFrame:

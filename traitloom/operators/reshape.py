@@ -5,10 +5,10 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from traitloom.operators.aggregates import PART, TEXT, collapse_parts
+from traitloom.operators.aggregates import PART, TEXT, collapse_parts, join_parts
 from traitloom.operators.columns import prefix_names, ref
 from traitloom.operators.filters import drop_in
 
@@ -45,15 +45,9 @@ def collapse_wider(
 ) -> DataFrame:
     """Text collapse per key and name, straight into the wide form: the pieces of a group are joined and placed at once."""
     parts = collapse_parts(df, [key, names_from], value, order_by, sep)
-    piece = F.struct(F.coalesce(ref(names_from), F.lit("NA")).alias("n"), PART, TEXT)
-    gathered = parts.groupBy(ref(key)).agg(F.sort_array(F.collect_list(piece)).alias("__all"))
-
-    def cell(name: str) -> Column:
-        own = F.filter("__all", lambda x: x["n"] == name)
-        joined = F.array_join(F.transform(own, lambda x: x[TEXT]), sep)
-        return F.when(F.exists("__all", lambda x: x["n"] == name), joined)
-
-    return gathered.select(ref(key), *[cell(name).alias(name) for name in columns])
+    pieces = F.collect_list(F.struct(PART, TEXT))
+    cell = F.when(F.size(pieces) > 0, join_parts(pieces, sep))
+    return parts.groupBy(ref(key)).pivot(names_from, list(columns)).agg(cell)
 
 
 def pivot_longer(

@@ -30,27 +30,35 @@ from traitloom.plans.spec import (
 )
 
 
+# Wide columns the integration uses; it drops the other required ones. Columns beyond those end up in the result.
+USED_TEXT = ("flowering_season", "fruit_seed_persist")
+USED_NUMBERS = {"seed_dry_mass_g": "seed_dry_mass_REF", "plant_lifespan_year": "plant_lifespan_year_REF"}
+NEW_COLUMNS = (
+    *[TEXT_PREFIX + name + end for name in USED_TEXT for end in ("", "_REF")],
+    *[NUMBER_PREFIX + name for item in USED_NUMBERS.items() for name in item],
+)
+
+
 def _text_side(wide: DataFrame, spec: TraitSpec) -> DataFrame:
     require(wide, ["species", *TEXT_COLUMNS])
-    side = relabel_columns(wide, TEXT_PREFIX, drop_keys=spec.excluded_species)
-    for name in ("flowering_season", "fruit_seed_persist"):
-        column = TEXT_PREFIX + name
-        side = side.withColumn(column, blank_to_null(F.col(column)))
-        side = insert_at(side, f"{column}_REF", source_label(F.col(column), spec.record_source), after=column)
-    return side
+    side = drop_strict(wide, [name for name in TEXT_COLUMNS if name not in USED_TEXT])
+    side = relabel_columns(side, TEXT_PREFIX, drop_keys=spec.excluded_species)
+    side = side.withColumns({TEXT_PREFIX + name: blank_to_null(F.col(TEXT_PREFIX + name)) for name in USED_TEXT})
+    return side.withColumns(
+        {f"{TEXT_PREFIX}{name}_REF": source_label(F.col(TEXT_PREFIX + name), spec.record_source) for name in USED_TEXT}
+    )
 
 
 def _number_side(wide: DataFrame, spec: TraitSpec) -> DataFrame:
     require(wide, ["species", *NUMBER_COLUMNS])
-    side = relabel_columns(wide, NUMBER_PREFIX, drop_keys=spec.excluded_species, fixes=NUMBER_NAME_FIXES)
-    for name, reference in (
-        ("seed_dry_mass_g", "seed_dry_mass_REF"),
-        ("plant_lifespan_year", "plant_lifespan_year_REF"),
-    ):
-        value = F.col(NUMBER_PREFIX + name)
-        label = source_label(value, spec.record_source)
-        side = insert_at(side, NUMBER_PREFIX + reference, label, after=NUMBER_PREFIX + name)
-    return side
+    side = drop_strict(wide, [name for name in NUMBER_COLUMNS if name not in USED_NUMBERS])
+    side = relabel_columns(side, NUMBER_PREFIX, drop_keys=spec.excluded_species, fixes=NUMBER_NAME_FIXES)
+    return side.withColumns(
+        {
+            NUMBER_PREFIX + reference: source_label(F.col(NUMBER_PREFIX + name), spec.record_source)
+            for name, reference in USED_NUMBERS.items()
+        }
+    )
 
 
 def _as_double(df: DataFrame, name: str):
@@ -109,18 +117,15 @@ def integrate(
             references[reference] = prefer(ref(a_ref), ref(b_ref), "string")
 
     # The inputs of the choices go, the chosen columns come last; names may repeat, so old and new are kept apart.
-    consumed = {
+    consumed = [
         "included_in_data", "Seeds_per_lb", "Seeds_per_lb_REF", "Seed_mass_mg", "Seed_mass_REF", "Lifespan_yrs",
         "Lifespan_yrs_REF", "Flowering_season", "Flowering_season_REF", "Fruit_seed_persist", "Fruit_seed_persist_REF",
-        *[TEXT_PREFIX + name for name in TEXT_COLUMNS],
-        *[NUMBER_PREFIX + NUMBER_NAME_FIXES.get(name, name) for name in NUMBER_COLUMNS],
-        f"{TEXT_PREFIX}flowering_season_REF", f"{TEXT_PREFIX}fruit_seed_persist_REF",
-        f"{NUMBER_PREFIX}seed_dry_mass_REF", f"{NUMBER_PREFIX}plant_lifespan_year_REF",
-    }
+        *NEW_COLUMNS,
+    ]
     chosen = {**values, **references}
     df = df.select("*", *[column.alias(f"new {name}") for name, column in chosen.items()])
-    df = rename_strict(drop_strict(df, sorted(consumed)), {f"new {name}": name for name in chosen})
-    df = rename_strict(df, {**ATTRIBUTE_NAMES, **SITE_NAMES})
+    df = drop_strict(df, consumed)
+    df = rename_strict(df, {**{f"new {name}": name for name in chosen}, **ATTRIBUTE_NAMES, **SITE_NAMES})
 
     habit_reference = override_equal(
         F.col("species"),

@@ -9,6 +9,7 @@ from traitloom.functions.numeric import convert_unit, convert_value, is_number,
 from traitloom.functions.recode import label
 from traitloom.functions.text import always_with_unit
 from traitloom.operators.aggregates import mean_by
+from traitloom.operators.columns import ref
 from traitloom.operators.reshape import mean_wider
 from traitloom.plans.records import clean_value, species_name, wanted_records
 from traitloom.plans.spec import DEFAULT_SPEC, TraitSpec
@@ -26,9 +27,9 @@ def _column_name(spec: TraitSpec):
     return always_with_unit(trait, convert_unit(F.col("OrigUnitStr"), spec.unit_rules))
 
 
-def _measurements(distinct: DataFrame, species, spec: TraitSpec) -> DataFrame:
+def _measurements(distinct: DataFrame, spec: TraitSpec) -> DataFrame:
     return distinct.select(
-        species.alias("species"),
+        "species",
         _column_name(spec).alias("trait_units"),
         convert_value(to_number(clean_value(spec)), F.col("OrigUnitStr"), spec.unit_rules).alias("value"),
     )
@@ -41,24 +42,23 @@ def wide_numbers(eav: DataFrame, spec: TraitSpec = DEFAULT_SPEC) -> DataFrame:
     required columns only keep their species: their other columns are blanked first, which leaves one of them per
     species instead of shuffling them all. ``unmapped_numbers`` lists them.
     """
-    known = _column_name(spec).isin(list(spec.number_columns))
-    species = species_name(F.col("AccSpeciesName"))
+    known = F.col("__known")
     distinct = (
         _number_records(eav, spec)
-        .withColumn("__known", known)
-        .select(
-            F.when(~F.col("__known"), species).alias("__species_only"),
-            *[F.when(F.col("__known"), F.col(f"`{name}`")).alias(name) for name in eav.columns],
+        .withColumns(
+            {
+                "species": species_name(F.col("AccSpeciesName")),
+                "__known": _column_name(spec).isin(list(spec.number_columns)),
+            }
         )
+        .select("species", *[F.when(known, ref(name)).alias(name) for name in eav.columns])
         .distinct()
     )
-    rows = _measurements(distinct, F.coalesce(F.col("__species_only"), species), spec)
-    return mean_wider(rows, "species", "trait_units", "value", spec.number_columns)
+    return mean_wider(_measurements(distinct, spec), "species", "trait_units", "value", spec.number_columns)
 
 
 def unmapped_numbers(eav: DataFrame, spec: TraitSpec = DEFAULT_SPEC) -> DataFrame:
     """Means that have no column in the wide table, under the column name they would have had."""
     rows = _number_records(eav, spec).filter(~_column_name(spec).isin(list(spec.number_columns))).distinct()
-    return mean_by(
-        _measurements(rows, species_name(F.col("AccSpeciesName")), spec), ["species", "trait_units"], "value"
-    )
+    rows = rows.withColumn("species", species_name(F.col("AccSpeciesName")))
+    return mean_by(_measurements(rows, spec), ["species", "trait_units"], "value")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from traitloom.functions.nulls import has_text, paste
-from traitloom.functions.recode import decode_month, recode
+from traitloom.functions.recode import decode_month
 from traitloom.plans.spec import TraitSpec
 
 
@@ -18,7 +18,7 @@ def species_name(full_name: Column) -> Column:
 
 def clean_value(spec: TraitSpec) -> Column:
     """The raw value with known misprints corrected and month numbers spelled out."""
-    return decode_month(recode(F.col("OrigValueStr"), spec.value_fixes), F.col("OrigUnitStr"))
+    return decode_month(F.col("OrigValueStr"), F.col("OrigUnitStr"), spec.value_fixes)
 
 
 def wanted_records(eav: DataFrame, spec: TraitSpec) -> DataFrame:
