@@ -1,0 +1,124 @@
+import datetime
+import os
+
+import pytest
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
+
+from traitloom.plans.pipeline import run
+from traitloom.plans.spec import CURATED_COLUMNS
+from traitloom.sources.readers import read_attributes, read_csv, read_csv_inferred, read_eav_tsv
+from traitloom.sources.scratch import scratch_folder
+from traitloom.sources.writers import write_csv_blank, write_csv_na, write_snapshot
+
+from test_jobs import curated_table
+
+HEADER = "TraitID\tAccSpeciesName\tTraitName\tDataName\tOrigValueStr\tOrigUnitStr\tObsID\n"
+
+
+@pytest.fixture
+def tsv(tmp_path):
+    path = tmp_path / "raw.txt"
+    lines = [
+        '59\tAbies alba\tt\tPollination "x\tnectar \xb1 hidden\t\t1\n',
+        "59\tAbies alba\tt\tPlant life span\tNA\tyr\t2\n",
+        "59\tAbies alba\tt\tPlant life span\tback\\slash\tyr\t3\n",
+        "\tAbies alba\tt\tPlant life span\t 5 \tNA\t4\n",
+    ]
+    path.write_bytes((HEADER + "".join(lines)).encode("latin-1"))
+    return str(path)
+
+
+def test_raw_records(spark, tsv):
+    df = read_eav_tsv(spark, tsv)
+    assert dict(df.dtypes)["TraitID"] == "int"
+    got = [tuple(r) for r in df.orderBy("ObsID").collect()]
+    assert got == [
+        (59, "Abies alba", "t", 'Pollination "x', "nectar ± hidden", "", "1"),
+        (59, "Abies alba", "t", "Plant life span", None, "yr", "2"),
+        (59, "Abies alba", "t", "Plant life span", "back\\slash", "yr", "3"),
+        (None, "Abies alba", "t", "Plant life span", "5", None, "4"),
+    ]
+    assert [tuple(r) for r in read_eav_tsv(spark, tsv, df.schema).orderBy("ObsID").collect()] == got
+
+
+def test_raw_records_need_their_columns(spark, tmp_path):
+    path = tmp_path / "raw.txt"
+    path.write_text("TraitID\tSpecies\n1\tx\n")
+    with pytest.raises(ValueError, match="AccSpeciesName"):
+        read_eav_tsv(spark, str(path))
+
+
+def test_csv_in_and_out(spark, rows, tmp_path):
+    df = spark.createDataFrame([(1, 'say "a", b', 1.5), (2, "", None), (3, None, 0.1), (4, " x ", 2.0)], "n int, t string, d double")
+    path = write_csv_blank(df, str(tmp_path / "blank"))
+    assert rows(read_csv(spark, path, df.schema)) == [(1, 'say "a", b', 1.5), (2, "", None), (3, "", 0.1), (4, " x ", 2.0)]
+    assert rows(read_csv(spark, path, df.schema, "null"))[1:3] == [(2, None, None), (3, None, 0.1)]
+    na = write_csv_na(df, str(tmp_path / "na"))
+    text = "".join(open(os.path.join(na, f)).read() for f in os.listdir(na) if f.endswith(".csv"))
+    assert "3,NA,0.1" in text and "2,\"\",NA" in text and '1,"say ""a"", b",1.5' in text
+
+
+def test_type_override_keeps_leading_zeros(spark, rows, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("code,n,w\n1,5,a\n2or3,NA,\n01,7,NA\n")
+    plain = tmp_path / "p.csv"
+    plain.write_text("code,n\n1,5\n01,7\n")
+    df = read_csv_inferred(spark, str(path))
+    assert rows(df) == [("01", 7, None), ("1", 5, "a"), ("2or3", None, None)]
+    assert rows(read_csv_inferred(spark, str(plain), {"code": StringType()})) == [("01", 7), ("1", 5)]
+    with pytest.raises(ValueError):
+        read_csv_inferred(spark, str(plain), {"nope": StringType()})
+
+
+def test_attributes_are_strict(spark, tmp_path):
+    path = tmp_path / "c.csv"
+    path.write_text('species,Growth.Habit,n\na,"",1\nb,NA,\n')
+    schema = StructType(
+        [StructField("species", StringType()), StructField("Growth.Habit", StringType()), StructField("n", DoubleType())]
+    )
+    df = read_attributes(spark, str(path), ["species", "Growth.Habit"], schema)
+    assert [tuple(r) for r in df.orderBy("species").collect()] == [("a", None, 1.0), ("b", None, None)]
+    with pytest.raises(ValueError, match="common"):
+        read_attributes(spark, str(path), ["common"], schema)
+
+
+def test_rerun_replaces_its_own_day(spark, rows, tmp_path):
+    path = str(tmp_path / "snap")
+    a = spark.createDataFrame([(1,)], "n int")
+    b = spark.createDataFrame([(2,)], "n int")
+    write_snapshot(a, path, datetime.date(2022, 11, 9))
+    write_snapshot(a, path, "2022-11-10")
+    write_snapshot(b, path, "2022-11-10")
+    schema = StructType([StructField("n", IntegerType()), StructField("run_date", StringType())])
+    assert rows(spark.read.schema(schema).parquet(path)) == [(1, "2022-11-09"), (2, "2022-11-10")]
+    with pytest.raises(ValueError):
+        write_snapshot(a, path, "yesterday")
+
+
+def test_scratch_is_in_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert scratch_folder(spark, "x").startswith(shared)
+    assert scratch_folder(spark, "x") != scratch_folder(spark, "x")
+
+
+def test_pipeline_end_to_end(spark, rows, tmp_path):
+    raw = tmp_path / "raw.txt"
+    lines = [
+        "26\tPinus nigra\tt\tSeed dry mass\t500\tmg\t1\n",
+        "26\tPinus nigra\tt\tSeed dry mass\t1500\tmg\t2\n",
+        "335\tPinus nigra Arn.\tt\tFlowering season\tSpring\t\t3\n",
+        "335\tPinus nigra\tt\tOdd name\twords\t\t4\n",
+        "999\tPinus nigra\tt\tSeed dry mass\t1\tmg\t5\n",
+    ]
+    raw.write_bytes((HEADER + "".join(lines)).encode("latin-1"))
+    curated = str(tmp_path / "curated")
+    curated_table(spark, {"species": "Pinus nigra", "Andrews": 1}, {"species": "Else", "Andrews": 0}).write.parquet(curated)
+    out = run(spark, str(raw), curated, str(tmp_path / "out"), "2022-11-09")
+    table = spark.read.parquet(out["integrated"])
+    got = {r.species: r for r in table.collect()}
+    assert set(got) == {"Pinus nigra", "Else"} and str(got["Else"].run_date) == "2022-11-09"
+    assert got["Pinus nigra"].Seed_mass_mg == 1000.0 and got["Pinus nigra"].Flowering_season == "spring"
+    assert [r.DataName for r in spark.read.parquet(out["unmapped_text"]).collect()] == ["Odd name"]
+    stats = spark.read.options(header=True).csv(out["site_stats_for_quant_atts"])
+    assert [(r.site, r.variable, r.n, r.sd) for r in stats.collect()] == [("AND", "Seed_mass_mg", "1", "NA")]
+    assert len(CURATED_COLUMNS) == len(set(CURATED_COLUMNS))

@@ -42,16 +42,16 @@ def sc_recode_map(spark, sf_dir):
 
 @query(
     "sc_recode_table",
-    """SELECT l_orderkey, l_linenumber, coalesce(n_name, l_returnflag) AS l_returnflag FROM lineitem
-    LEFT JOIN (VALUES ('A', 'accepted'), ('R', 'returned')) v(code, n_name) ON l_returnflag = code""",
+    """SELECT c_custkey, coalesce(n_name, CAST(c_nationkey AS STRING)) AS nation, c_acctbal FROM customer
+    LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 2) ON c_nationkey = n_nationkey""",
 )
 def sc_recode_table(spark, sf_dir):
-    # The mapping is a table: one row per code that occurs, minus those without a name.
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
-    codes = lines.select(F.col("l_returnflag").alias("code")).distinct()
-    names = label(F.col("code"), {"accepted": ["A"], "returned": ["R"]})
-    mapping = codes.withColumn("meaning", names).filter(F.col("meaning").isNotNull())
-    return recode_from_table(lines, "l_returnflag", mapping, "code", "meaning")
+    customers = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey", "CAST(c_nationkey AS STRING) AS nation", "c_acctbal"
+    )
+    nations = table(spark, sf_dir, "nation").filter("n_regionkey <> 2")
+    mapping = nations.selectExpr("CAST(n_nationkey AS STRING) AS code", "n_name")
+    return recode_from_table(customers, "nation", mapping, "code", "n_name")
 
 
 @query(

@@ -70,5 +70,4 @@ def recode_from_table(df: DataFrame, column: str, table: DataFrame, source: str,
     """
     found = table.select(F.col(source).alias("__source"), F.col(target).alias("__target"))
     joined = df.join(found, df[column] == found["__source"], "left")
-    replaced = F.coalesce(F.col("__target"), F.col(column)).alias(column)
-    return joined.select(*[replaced if name == column else F.col(f"`{name}`") for name in df.columns])
+    return joined.withColumn(column, F.coalesce(F.col("__target"), F.col(column))).drop("__source", "__target")

@@ -20,7 +20,7 @@ def title_case(column: Column) -> Column:
 def with_unit(name: Column, unit: Column, value: Column) -> Column:
     """``name`` or ``name_unit``; the unit is left out when blank. A missing unit gives a missing result."""
     bare = (F.length(unit) == 0) | value.isNull()
-    return if_else(bare, name, always_with_unit(name, unit))
+    return F.when(bare, name).when(unit.isNotNull(), always_with_unit(name, unit))
 
 
 def always_with_unit(name: Column, unit: Column) -> Column:

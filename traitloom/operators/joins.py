@@ -33,8 +33,9 @@ def left_enrich_all(left: DataFrame, rights: Sequence[DataFrame], on: str = "spe
 
     The right tables are merged first (a union and one grouping by key). The left table, the one that may be large and
     have hot keys, is then shuffled at most once: Spark may broadcast the merged table if it is small, and otherwise
-    adaptive execution can split a hot key, which it refuses to do inside a chain of joins on the same key. A right
-    table with two rows for a key breaks the merge and is reported as an error rather than resolved by chance.
+    adaptive execution splits a hot key, which it refuses to do inside a chain of joins on the same key. It also needs
+    a shuffle directly below the join on either side; grouping by key *and* its hash keeps the merge from passing for
+    one. A right table with two rows for a key breaks the merge and is reported as an error, not resolved by chance.
     """
     require(left, [on])
     columns: list[str] = []
@@ -53,11 +54,11 @@ def left_enrich_all(left: DataFrame, rights: Sequence[DataFrame], on: str = "spe
     for i in range(len(rights)):
         once = once & (F.coalesce(F.sum(f"__side_{i}"), F.lit(0)) <= 1)
     merged = (
-        stacked.groupBy(ref(on))
+        stacked.groupBy(ref(on), F.xxhash64(ref(on)).alias("__hash"))
         .agg(once.alias("__once"), *[F.max(ref(name)).alias(name) for name in columns])
         .filter(F.when(F.col("__once"), True).otherwise(
             F.raise_error(F.concat(F.lit(f"more than one row for {on} "), ref(on).cast("string"))).cast("boolean")
         ))
-        .drop("__once")
+        .drop("__once", "__hash")
     )
     return left_enrich(left, merged, on)

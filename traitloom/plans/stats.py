@@ -36,14 +36,13 @@ def write_profiles(
 ) -> dict[str, str]:
     """Write the four tables as CSV snapshots of the day, a missing value as ``NA``.
 
-    The frequency table feeds two of them and is kept between the two writes; if an executor holding a part of it is
-    lost, Spark computes that part again.
+    Two of them come from the frequency table. It is written next to them and read back, so the large table is not
+    gone through twice, whatever happens to the executors in between.
     """
-    frequencies = frequency_table(traits, spec.categorical_profile, spec.sites).persist()
-    try:
-        return {
-            name: write_snapshot(table, f"{folder}/{name}", run_date, "csv", na_text="NA")
-            for name, table in _profiles(traits, frequencies, spec, digits).items()
-        }
-    finally:
-        frequencies.unpersist()
+    frequencies = frequency_table(traits, spec.categorical_profile, spec.sites)
+    path = write_snapshot(frequencies, f"{folder}/frequencies", run_date)
+    day = traits.sparkSession.read.schema(frequencies.schema).parquet(f"{path}/run_date={run_date}")
+    return {
+        name: write_snapshot(table, f"{folder}/{name}", run_date, "csv", na_text="NA")
+        for name, table in _profiles(traits, day, spec, digits).items()
+    }
