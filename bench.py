@@ -17,7 +17,7 @@ from traitloom.catalog import views
 from traitloom.catalog.job_queries import SPEC
 from traitloom.plans.enrich import integrate
 from traitloom.plans.numbers import wide_numbers
-from traitloom.plans.pipeline import land_records
+from traitloom.plans.workflow import land_records
 from traitloom.plans.stats import profiles
 from traitloom.plans.text import wide_text
 from traitloom.session import local_session

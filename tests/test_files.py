@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
-from traitloom.plans.pipeline import run
+from traitloom.plans.workflow import run
 from traitloom.plans.spec import CURATED_COLUMNS
 from traitloom.sources.readers import read_attributes, read_csv, read_csv_inferred, read_eav_tsv
 from traitloom.sources.scratch import scratch_folder
@@ -41,6 +41,12 @@ def test_raw_records(spark, tsv):
     assert [tuple(r) for r in read_eav_tsv(spark, tsv, df.schema).orderBy("ObsID").collect()] == got
 
 
+def test_trait_filter_reaches_the_text_file(spark, tsv, capfd):
+    df = read_eav_tsv(spark, tsv)
+    df.filter(df.TraitID.isin([59, 26])).select("OrigValueStr").explain()
+    assert "PushedFilters: [In(TraitID, [26,59])]" in capfd.readouterr().out
+
+
 def test_raw_records_need_their_columns(spark, tmp_path):
     path = tmp_path / "raw.txt"
     path.write_text("TraitID\tSpecies\n1\tx\n")
@@ -101,7 +107,7 @@ def test_scratch_is_in_the_shared_folder(spark):
     assert scratch_folder(spark, "x") != scratch_folder(spark, "x")
 
 
-def test_pipeline_end_to_end(spark, rows, tmp_path):
+def test_workflow_end_to_end(spark, rows, tmp_path):
     raw = tmp_path / "raw.txt"
     lines = [
         "26\tPinus nigra\tt\tSeed dry mass\t500\tmg\t1\n",
