@@ -64,6 +64,14 @@ def test_csv_in_and_out(spark, rows, tmp_path):
     assert "3,NA,0.1" in text and "2,\"\",NA" in text and '1,"say ""a"", b",1.5' in text
 
 
+def test_missing_text_in_a_number_column_keeps_the_rest_of_the_row(spark, rows, tmp_path):
+    path = tmp_path / "n.csv"
+    path.write_text("n,t,d\n1,NA,NA\n,x,2.5\n")
+    schema = "n int, t string, d double"
+    df = read_csv(spark, str(path), spark.createDataFrame([], schema).schema)
+    assert rows(df) == [(None, "x", 2.5), (1, None, None)]
+
+
 def test_type_override_keeps_leading_zeros(spark, rows, tmp_path):
     path = tmp_path / "t.csv"
     path.write_text("code,n,w\n1,5,a\n2or3,NA,\n01,7,NA\n")

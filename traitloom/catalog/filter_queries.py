@@ -88,7 +88,7 @@ def flt_numeric_split(spark, sf_dir):
 @query(
     "join_left_enrich",
     """SELECT c_custkey, c_name, c_acctbal, n_orders, mean_price FROM customer LEFT JOIN (
-        SELECT o_custkey, CAST(count(*) AS BIGINT) AS n_orders, round(avg(o_totalprice), 4) AS mean_price
+        SELECT o_custkey, CAST(count(*) AS BIGINT) AS n_orders, round(avg(floor(o_totalprice)), 4) AS mean_price
         FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey) ON c_custkey = o_custkey""",
 )
 def join_left_enrich(spark, sf_dir):
@@ -96,10 +96,10 @@ def join_left_enrich(spark, sf_dir):
         table(spark, sf_dir, "orders")
         .filter("o_orderpriority = '1-URGENT'")
         .groupBy(F.col("o_custkey").alias("c_custkey"))
-        .agg(F.count(F.lit(1)).alias("n_orders"), F.round(F.avg("o_totalprice"), 4).alias("mean_price"))
+        .agg(F.count(F.lit(1)).alias("n_orders"), F.round(F.avg(F.floor("o_totalprice")), 4).alias("mean_price"))
     )
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
-    return left_enrich(customers, urgent, "c_custkey")
+    return left_enrich(customers, urgent, "c_custkey")  # the left side has one row per customer
 
 
 @query(

@@ -15,8 +15,9 @@ def left_enrich(left: DataFrame, right: DataFrame, on: str = "species") -> DataF
     """Keep every left row and attach the matching right columns.
 
     The key appears once; other names both sides share get ``.x`` and ``.y``. Spark chooses between broadcast and shuffle
-    from the size of the right side, and adaptive execution splits a hot key of the left side. Right keys are never
-    missing here, so plain equality treats a missing left key as unmatched.
+    from the size of the right side, and adaptive execution splits a hot key of the left side if the right side comes
+    from storage (one just grouped by the key belongs in ``left_enrich_all``). Right keys are never missing here, so
+    plain equality treats a missing left key as unmatched.
     """
     require(left, [on])
     require(right, [on])

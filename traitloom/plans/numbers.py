@@ -14,6 +14,9 @@ from traitloom.operators.reshape import mean_wider
 from traitloom.plans.records import clean_value, species_name, wanted_records
 from traitloom.plans.spec import DEFAULT_SPEC, TraitSpec
 
+# Internal name: the raw records may have any other column of their own.
+SPECIES = "__species"
+
 
 def _number_records(eav: DataFrame, spec: TraitSpec) -> DataFrame:
     """Raw rows that hold a usable number. Filters come before the distinct; they do not change what is distinct."""
@@ -29,7 +32,7 @@ def _column_name(spec: TraitSpec):
 
 def _measurements(distinct: DataFrame, spec: TraitSpec) -> DataFrame:
     return distinct.select(
-        "species",
+        F.col(SPECIES).alias("species"),
         _column_name(spec).alias("trait_units"),
         convert_value(to_number(clean_value(spec)), F.col("OrigUnitStr"), spec.unit_rules).alias("value"),
     )
@@ -47,11 +50,11 @@ def wide_numbers(eav: DataFrame, spec: TraitSpec = DEFAULT_SPEC) -> DataFrame:
         _number_records(eav, spec)
         .withColumns(
             {
-                "species": species_name(F.col("AccSpeciesName")),
+                SPECIES: species_name(F.col("AccSpeciesName")),
                 "__known": _column_name(spec).isin(list(spec.number_columns)),
             }
         )
-        .select("species", *[F.when(known, ref(name)).alias(name) for name in eav.columns])
+        .select(SPECIES, *[F.when(known, ref(name)).alias(name) for name in eav.columns])
         .distinct()
     )
     return mean_wider(_measurements(distinct, spec), "species", "trait_units", "value", spec.number_columns)
@@ -60,5 +63,5 @@ def wide_numbers(eav: DataFrame, spec: TraitSpec = DEFAULT_SPEC) -> DataFrame:
 def unmapped_numbers(eav: DataFrame, spec: TraitSpec = DEFAULT_SPEC) -> DataFrame:
     """Means that have no column in the wide table, under the column name they would have had."""
     rows = _number_records(eav, spec).filter(~_column_name(spec).isin(list(spec.number_columns))).distinct()
-    rows = rows.withColumn("species", species_name(F.col("AccSpeciesName")))
+    rows = rows.withColumn(SPECIES, species_name(F.col("AccSpeciesName")))
     return mean_by(_measurements(rows, spec), ["species", "trait_units"], "value")

@@ -21,6 +21,8 @@ CLUSTER_SETTINGS = {
     **SETTINGS,
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Attribute records compress very well: a small file split already holds millions of them.
+    "spark.sql.files.maxPartitionBytes": "32m",
     "spark.shuffle.service.enabled": "true",
 }
 
@@ -33,6 +35,7 @@ def local_session(name: str, cores: int = 8, memory: str = "8g", **settings: str
         builder = builder.config(key, value)
     return (
         builder.config("spark.sql.shuffle.partitions", str(cores))
+        .config("spark.sql.files.openCostInBytes", "256k")  # small files, one task each
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
