@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traitloom.llm import secrets
+from traitloom.llm import pieces, secrets, warc
 from traitloom.llm.common import table
+from traitloom.sources.scratch import scratch_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +25,14 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def piece_model() -> bytes:
+    """Content of the public vocabulary file the queries use; its place is not written down here."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        return file.read()
+
+
 def _is(value: str):
     return lambda x: x == value
 
@@ -41,3 +50,26 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
         secrets.span_text(F.col("spans")).alias("spans"),
     )
+
+
+@query("op10_warc_revisits")
+def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.deduplicate(table(spark, sf_dir, "pages"), scratch_folder(spark, "warc"))
+    return read.select(
+        F.col("record_id").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+@query("op6_sentencepiece")
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode(docs, piece_model()).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(pieces.ids_text(), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+    )
