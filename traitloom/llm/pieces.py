@@ -7,7 +7,6 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +19,10 @@ from traitloom.llm.common import ref
 
 SPACE = "▁"
 #: Chunks up to this length are kept, at most so many at a time; longer ones are encoded each time they occur.
-CACHED_CHARS, CACHED_CHUNKS = 48, 150_000
+CACHED_CHARS, CACHED_CHUNKS = 48, 300_000
+#: Up to this length the agenda is a plain list of scores, above it a heap.
+SHORT = 40
+NEVER = float("inf")
 _CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 
@@ -29,7 +31,7 @@ class MergeVocabulary:
 
     The text is normalised by the model's own rules first. A model whose pieces never hold a space mark after another
     character cannot merge across such a place, so texts are encoded chunk by chunk there; for other models the whole
-    text is one chunk. Every distinct chunk is compared with the library when it is first met.
+    text is one chunk. Every chunk is compared with the library when it is first met, a batch at a time (``verify``).
     """
 
     def __init__(self, model: bytes, check: bool = True):
@@ -44,6 +46,7 @@ class MergeVocabulary:
                 self.bytes_at[int(piece[3:5], 16)] = i
             elif not (sp.is_control(i) or sp.is_unknown(i)):
                 self.merges[piece] = (-sp.get_score(i), i)
+        self.scores = {piece: score for piece, (score, _) in self.merges.items()}
         self.unknown = sp.unk_id()
         self.byte_of = {i: b for b, i in self.bytes_at.items()}
         self.piece_of = {i: piece for piece, (_, i) in self.merges.items()}
@@ -51,10 +54,40 @@ class MergeVocabulary:
         # Whether the model leaves text as it is but for the space mark in front and in place of spaces.
         probe = "A  b\téﬁ① \n c "
         self.plain = sp.normalize(probe) == SPACE + probe.replace(" ", SPACE)
-        self.cache: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.cache: dict[str, tuple[bytes, str]] = {}
+        self.fresh: list[tuple[str, list[int]]] = []
 
     def merge(self, text: str) -> list[int]:
         """Ids of a normalised text: the best-scored adjacent pair, leftmost first, is joined until none is in the vocabulary."""
+        symbols = self._merge_short(text) if len(text) <= SHORT else self._merge_long(text)
+        ids = []
+        for symbol in symbols:
+            found = self.merges.get(symbol)
+            if found:
+                ids.append(found[1])
+            elif self.bytes_at:
+                ids += [self.bytes_at[b] for b in symbol.encode()]
+            else:
+                ids.append(self.unknown)
+        return ids
+
+    def _merge_short(self, text: str) -> list[str]:
+        scores, symbols = self.scores, list(text)
+        agenda = [scores.get(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]
+        while agenda:
+            best = min(agenda)
+            if best == NEVER:
+                break
+            at = agenda.index(best)
+            joined = symbols[at] = symbols[at] + symbols[at + 1]
+            del symbols[at + 1], agenda[at]
+            if at:
+                agenda[at - 1] = scores.get(symbols[at - 1] + joined, NEVER)
+            if at < len(agenda):
+                agenda[at] = scores.get(joined + symbols[at + 1], NEVER)
+        return symbols
+
+    def _merge_long(self, text: str) -> list[str]:
         symbols: list[str] = list(text)
         n = len(symbols)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -80,17 +113,7 @@ class MergeVocabulary:
                 found = merges.get(symbols[ahead] + joined)
                 if found:
                     heapq.heappush(agenda, (found[0], ahead, left, symbols[ahead] + joined))
-        ids = []
-        for symbol in symbols:
-            if symbol:
-                found = merges.get(symbol)
-                if found:
-                    ids.append(found[1])
-                elif self.bytes_at:
-                    ids += [self.bytes_at[b] for b in symbol.encode()]
-                else:
-                    ids.append(self.unknown)
-        return ids
+        return [symbol for symbol in symbols if symbol]
 
     def plain_text(self, ids) -> str:
         """Pieces put together, runs of byte pieces read as UTF-8, space marks as spaces; nothing is stripped."""
@@ -107,30 +130,36 @@ class MergeVocabulary:
             out.append(pending.decode("utf-8", "replace"))
         return "".join(out).replace(SPACE, " ")
 
-    def chunk(self, text: str) -> tuple[tuple[int, ...], str]:
+    def chunk(self, text: str) -> tuple[bytes, str]:
+        """Ids as 32-bit numbers and the text they stand for."""
         known = self.cache.get(text)
         if known is None:
-            ids = tuple(self.merge(text))
-            known = ids, self.plain_text(ids)
+            ids = self.merge(text)
             if self.check and self.plain and text[0] == SPACE:  # the library puts the first space mark there itself
-                want = tuple(self.library.encode(text[1:])) if len(text) > 1 else ids
-                if want != ids:
-                    raise ValueError(f"ids of {text[:60]!r} differ from the library's")
+                self.fresh.append((text, ids))
+            known = array("i", ids).tobytes(), self.plain_text(ids)
             if len(text) <= CACHED_CHARS:
                 if len(self.cache) >= CACHED_CHUNKS:
                     self.cache.clear()
                 self.cache[text] = known
         return known
 
-    def encode(self, text: str) -> tuple[array, str]:
-        """Ids of a text as the library gives them, and the text that its ``decode`` makes of them."""
+    def verify(self) -> None:
+        """Compares what was merged since the last call with the library."""
+        fresh = [(text, ids) for text, ids in self.fresh if len(text) > 1]
+        self.fresh.clear()
+        for (text, ids), want in zip(fresh, self.library.encode([text[1:] for text, _ in fresh], num_threads=1)):
+            if ids != want:
+                raise ValueError(f"ids of {text[:60]!r} differ from the library's")
+
+    def encode(self, text: str) -> tuple[bytes, str]:
+        """Ids of a text as the library gives them (32-bit numbers), and the text that its ``decode`` makes of them."""
         if not text:
-            return array("i"), ""
+            return b"", ""
         normal = SPACE + text.replace(" ", SPACE) if self.plain else self.library.normalize(text)
         found = list(map(self.chunk, _CHUNK.findall(normal) if self.splits else [normal]))
-        ids = array("i", chain.from_iterable(part[0] for part in found))
-        decoded = "".join(part[1] for part in found)
-        return ids, decoded[1:] if decoded.startswith(" ") else decoded
+        decoded = "".join([part[1] for part in found])
+        return b"".join([part[0] for part in found]), decoded[1:] if decoded.startswith(" ") else decoded
 
 
 @lru_cache(maxsize=1)
@@ -160,14 +189,12 @@ def encode(
         for whole in batches:
             for first in range(0, whole.num_rows, 512):
                 batch = whole.slice(first, 512)
-                values, ends, texts = array("i"), [0], []
-                for value in batch.column(at).to_pylist():
-                    found, back = vocabulary.encode(value or "")
-                    values += found
-                    ends.append(len(values))
-                    texts.append(back)
-                flat = pa.array(np.frombuffer(values, dtype=np.int32) if values else [], pa.int32())
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+                found = [vocabulary.encode(value or "") for value in batch.column(at).to_pylist()]
+                vocabulary.verify()
+                ends = np.cumsum([0, *[len(ids) // 4 for ids, _ in found]], dtype=np.int32)
+                flat = np.frombuffer(b"".join([ids for ids, _ in found]), dtype=np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+                texts = [back for _, back in found]
                 columns = [*batch.columns, lists, pa.array(texts, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, names=[*names, ids, decoded])
 
