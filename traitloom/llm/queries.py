@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traitloom.llm import pieces, secrets, warc
+from traitloom.llm import pieces, repeats, secrets, warc
 from traitloom.llm.common import table
 from traitloom.sources.scratch import scratch_folder
 
@@ -73,3 +73,38 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pieces.ids_text(), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
     )
+
+
+@query(
+    "op8_substring_dedup",
+    """
+    WITH words AS (
+        SELECT doc_id, [x FOR x IN string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') IF x <> ''] AS w
+        FROM documents
+    ), windows AS (
+        SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k
+        FROM words, unnest(range(1, len(w) - 11)) AS t(i) WHERE len(w) >= 13
+    ), least AS (
+        SELECT k, min(doc_id) AS m FROM windows GROUP BY k
+    ), hits AS (
+        SELECT doc_id, list(i) AS starts FROM windows JOIN least USING (k) WHERE m < doc_id GROUP BY doc_id
+    ), covered AS (
+        SELECT doc_id, list_distinct(flatten([range(i, i + 13) FOR i IN starts])) AS gone FROM hits
+    ), kept AS (
+        SELECT doc_id, w, coalesce(gone, []) AS gone FROM words LEFT JOIN covered USING (doc_id)
+    ), flagged AS (
+        SELECT doc_id, i, w[i] AS word FROM kept, unnest(range(1, len(w) + 1)) AS t(i)
+    ), lost AS (
+        SELECT doc_id, unnest(gone) AS i FROM covered
+    ), rest AS (
+        SELECT f.doc_id, string_agg(f.word, ' ' ORDER BY f.i) AS kept
+        FROM flagged f ANTI JOIN lost l ON f.doc_id = l.doc_id AND f.i = l.i GROUP BY f.doc_id
+    )
+    SELECT k.doc_id, len(k.w)::BIGINT AS n_words, len(k.gone)::BIGINT AS n_removed,
+           sha256(coalesce(r.kept, '')) AS kept_sha256
+    FROM kept k LEFT JOIN rest r USING (doc_id)
+    """,
+)
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
