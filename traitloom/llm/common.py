@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from traitloom.sources.scratch import scratch_folder
 
@@ -29,3 +32,37 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def is_small(df: DataFrame, limit: int) -> bool:
     """Whether a table has at most ``limit`` rows. Decides how a join is done, never what it returns."""
     return df.limit(limit + 1).count() <= limit
+
+
+#: Rows of a batch that are worked on and handed back together.
+ROWS = 512
+
+
+def with_columns(
+    docs: DataFrame,
+    inputs: Sequence[str],
+    new: StructType,
+    make: Callable[[], Callable[..., Sequence[pa.Array]]],
+) -> DataFrame:
+    """The rows with new columns computed from some of theirs, in Arrow batches.
+
+    ``make()`` is called once per task and returns a function that takes the input columns of a batch and returns the new
+    ones. All other columns stay; a column that has the name of a new one (in any case) is replaced. An input that is
+    replaced is read first.
+    """
+    taken = {f.name.lower() for f in new.fields}
+    kept = [f for f in docs.schema.fields if f.name.lower() not in taken]
+    hidden = [f"__in{i}" for i in range(len(inputs))]
+    names = [f.name for f in kept]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for whole in batches:
+            for first in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(first, ROWS)
+                columns = batch.columns
+                made = work(*columns[len(names) :])
+                yield pa.RecordBatch.from_arrays([*columns[: len(names)], *made], names=[*names, *new.names])
+
+    given = [ref(name).alias(h) for name, h in zip(inputs, hidden)]
+    return docs.select(*[ref(n) for n in names], *given).mapInArrow(run, StructType([*kept, *new.fields]))

@@ -5,7 +5,6 @@ from __future__ import annotations
 import heapq
 import re
 from array import array
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -15,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from traitloom.llm.common import ref
+from traitloom.llm.common import ref, with_columns
 
 SPACE = "▁"
 #: Chunks up to this length are kept, at most so many at a time; longer ones are encoded each time they occur.
@@ -176,29 +175,25 @@ def encode(
     with no ids. Other columns stay; columns that already have the new names are replaced. ``model`` is the content of
     the vocabulary file, sent to the tasks once as a broadcast: its size does not depend on the data.
     """
-    kept = [f for f in docs.schema.fields if f.name.lower() not in (ids.lower(), decoded.lower())]
-    schema = StructType([*kept, StructField(ids, ArrayType(IntegerType())), StructField(decoded, StringType())])
-    names = [f.name for f in kept]
-    if text.lower() in (ids.lower(), decoded.lower()):
-        raise ValueError("the new columns must not replace the text")
-    at = [n.lower() for n in names].index(text.lower())
+    new = StructType([StructField(ids, ArrayType(IntegerType())), StructField(decoded, StringType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         vocabulary = _vocabulary(shared.value, check)
-        for whole in batches:
-            for first in range(0, whole.num_rows, 512):
-                batch = whole.slice(first, 512)
-                found = [vocabulary.encode(value or "") for value in batch.column(at).to_pylist()]
-                vocabulary.verify()
-                ends = np.cumsum([0, *[len(ids) // 4 for ids, _ in found]], dtype=np.int32)
-                flat = np.frombuffer(b"".join([ids for ids, _ in found]), dtype=np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-                texts = [back for _, back in found]
-                columns = [*batch.columns, lists, pa.array(texts, pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, names=[*names, ids, decoded])
-
-    return docs.select(*[ref(n) for n in names]).mapInArrow(run, schema)
+
+        def work(column: pa.Array) -> list[pa.Array]:
+            found = [vocabulary.encode(value or "") for value in column.to_pylist()]
+            vocabulary.verify()
+            ends = np.cumsum([0, *[len(part) // 4 for part, _ in found]], dtype=np.int32)
+            flat = np.frombuffer(b"".join([part for part, _ in found]), dtype=np.int32)
+            return [
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                pa.array([back for _, back in found], pa.string()),
+            ]
+
+        return work
+
+    return with_columns(docs, [text], new, make)
 
 
 def ids_text(ids: str = "ids"):
