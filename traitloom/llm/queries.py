@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traitloom.llm import decontaminate, pieces, repeats, secrets, warc
+from traitloom.llm import decontaminate, pieces, quality, repeats, secrets, warc
 from traitloom.llm.common import table
 from traitloom.sources.scratch import scratch_folder
 
@@ -154,3 +154,15 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(decontaminate.items_text(), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query("op7_quality_classifier")
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), metadata=["n_chars"])
+    return quality.score(docs, model, metadata=["n_chars"]).select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"),
+    )
