@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traitloom.llm import decontaminate, pieces, quality, repeats, secrets, warc
+from traitloom.llm import decontaminate, jaccard, pieces, quality, repeats, secrets, warc
 from traitloom.llm.common import table
 from traitloom.sources.scratch import scratch_folder
 
@@ -166,3 +166,34 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"),
     )
+
+
+@query(
+    "op9_ngram_jaccard_join",
+    r"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, [x FOR x IN string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\x20\x09-\x0D]+') IF x <> ''] AS w
+        FROM documents
+    ), shingles AS (
+        SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s, least(len(w), 5) AS k
+        FROM words, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i) WHERE len(w) > 0
+    ), sizes AS (
+        SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+    ), links AS (
+        SELECT a.doc_id AS a, b.doc_id AS b
+        FROM shingles a JOIN shingles b ON a.s = b.s AND a.k = b.k AND a.doc_id <> b.doc_id
+        JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+        GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))
+    ), reach(doc_id, other) AS (
+        SELECT doc_id, doc_id FROM documents
+        UNION
+        SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
+    )
+    SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, min(other) AS component_id
+    FROM documents d LEFT JOIN sizes USING (doc_id) JOIN reach USING (doc_id) GROUP BY d.doc_id, n
+    """,
+)
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_groups(table(spark, sf_dir, "documents"))
