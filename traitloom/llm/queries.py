@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traitloom.llm import decontaminate, html_text, jaccard, pieces, quality, repeats, secrets, warc
+from traitloom.llm import decontaminate, html_text, jaccard, neighbours, pieces, quality, repeats, secrets, warc
 from traitloom.llm.common import table
 from traitloom.sources.scratch import scratch_folder
 
@@ -203,3 +203,9 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_text.extract(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query("op4_nearest_neighbours")
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(vectors, vectors.filter("vec_id % 50 = 0"))
