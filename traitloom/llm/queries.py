@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traitloom.llm import decontaminate, html_text, jaccard, neighbours, pieces, quality, repeats, secrets, warc
+from traitloom.llm import decontaminate, html_text, jaccard, neighbours, order, pieces, quality, repeats, secrets, warc
 from traitloom.llm.common import table
 from traitloom.sources.scratch import scratch_folder
 
@@ -209,3 +209,14 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return neighbours.nearest(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
+@query("op3_training_order")
+def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids are the UTF-8 bytes of the texts: the byte-level vocabulary, one byte an id."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").cast("binary").alias("tokens"))
+    folder = scratch_folder(spark, "order")
+    order.materialise(docs, folder, key=20_240_607)
+    return order.read_shards(spark, folder).select(
+        "slot", "shard", "byte_offset", "doc_id", "part", "n_tokens", F.sha2("tokens", 256).alias("tokens_sha256")
+    )
