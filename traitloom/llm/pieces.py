@@ -22,15 +22,20 @@ CACHED_CHARS, CACHED_CHUNKS = 48, 300_000
 #: Up to this length the agenda is a plain list of scores, above it a heap.
 SHORT = 40
 NEVER = float("inf")
-_CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_WORDS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+_RUNS = re.compile(f"{SPACE}*(?:[{_LETTERS}]+|[^{SPACE}{_LETTERS}]+)|{SPACE}+")
+_ONE_RUN = re.compile(f"{SPACE}*(?:[{_LETTERS}]*|[^{SPACE}{_LETTERS}]*)")
 
 
 class MergeVocabulary:
     """Pieces and scores of a model, and the merge procedure over them.
 
     The text is normalised by the model's own rules first. A model whose pieces never hold a space mark after another
-    character cannot merge across such a place, so texts are encoded chunk by chunk there; for other models the whole
-    text is one chunk. Every chunk is compared with the library when it is first met, a batch at a time (``verify``).
+    character cannot merge across such a place, so texts are encoded chunk by chunk there. If moreover no piece holds a
+    Latin letter next to another character (but space marks in front), chunks end there as well. For other models the whole
+    text is one chunk. In every batch the chunks met for the first time and one whole text are compared with the library
+    (``verify``); a chunk inside a word can only be compared as part of a text.
     """
 
     def __init__(self, model: bytes, check: bool = True):
@@ -49,26 +54,34 @@ class MergeVocabulary:
         self.unknown = sp.unk_id()
         self.byte_of = {i: b for b, i in self.bytes_at.items()}
         self.piece_of = {i: piece for piece, (_, i) in self.merges.items()}
-        self.splits = not any(SPACE in piece.lstrip(SPACE) for piece in self.merges)
+        self.ids = {piece: i for piece, (_, i) in self.merges.items()}
+        if any(SPACE in piece.lstrip(SPACE) for piece in self.merges):
+            self.cut = lambda text: [text]
+        elif all(_ONE_RUN.fullmatch(piece) for piece in self.merges):
+            self.cut = _RUNS.findall
+        else:
+            self.cut = _WORDS.findall
         # Whether the model leaves text as it is but for the space mark in front and in place of spaces.
         probe = "A  b\téﬁ① \n c "
         self.plain = sp.normalize(probe) == SPACE + probe.replace(" ", SPACE)
         self.cache: dict[str, tuple[bytes, str]] = {}
         self.fresh: list[tuple[str, list[int]]] = []
 
-    def merge(self, text: str) -> list[int]:
-        """Ids of a normalised text: the best-scored adjacent pair, leftmost first, is joined until none is in the vocabulary."""
-        symbols = self._merge_short(text) if len(text) <= SHORT else self._merge_long(text)
-        ids = []
+    def symbols(self, text: str) -> list[str]:
+        """The best-scored adjacent pair of a normalised text, leftmost first, is joined until none is in the vocabulary."""
+        return self._merge_short(text) if len(text) <= SHORT else self._merge_long(text)
+
+    def ids_of(self, symbols: list[str]) -> list[int]:
+        out = []
         for symbol in symbols:
-            found = self.merges.get(symbol)
-            if found:
-                ids.append(found[1])
+            found = self.ids.get(symbol)
+            if found is not None:
+                out.append(found)
             elif self.bytes_at:
-                ids += [self.bytes_at[b] for b in symbol.encode()]
+                out += [self.bytes_at[b] for b in symbol.encode()]
             else:
-                ids.append(self.unknown)
-        return ids
+                out.append(self.unknown)
+        return out
 
     def _merge_short(self, text: str) -> list[str]:
         scores, symbols = self.scores, list(text)
@@ -133,30 +146,37 @@ class MergeVocabulary:
         """Ids as 32-bit numbers and the text they stand for."""
         known = self.cache.get(text)
         if known is None:
-            ids = self.merge(text)
-            if self.check and self.plain and text[0] == SPACE:  # the library puts the first space mark there itself
-                self.fresh.append((text, ids))
-            known = array("i", ids).tobytes(), self.plain_text(ids)
+            symbols = self.symbols(text)
+            try:
+                ids, plain = [self.ids[symbol] for symbol in symbols], text.replace(SPACE, " ")
+            except KeyError:
+                ids = self.ids_of(symbols)
+                plain = self.plain_text(ids)
+            if self.check and self.plain and text[0] == SPACE and len(text) > 1:  # the library puts the first mark there itself
+                self.fresh.append((text[1:], ids))
+            known = array("i", ids).tobytes(), plain
             if len(text) <= CACHED_CHARS:
                 if len(self.cache) >= CACHED_CHUNKS:
                     self.cache.clear()
                 self.cache[text] = known
         return known
 
-    def verify(self) -> None:
-        """Compares what was merged since the last call with the library."""
-        fresh = [(text, ids) for text, ids in self.fresh if len(text) > 1]
-        self.fresh.clear()
-        for (text, ids), want in zip(fresh, self.library.encode([text[1:] for text, _ in fresh], num_threads=1)):
+    def verify(self, text: str = "") -> None:
+        """Compares ``text`` and the chunks merged since the last call with the library."""
+        fresh = self.fresh
+        self.fresh = []
+        if self.check and text:
+            fresh.append((text, list(memoryview(self.encode(text)[0]).cast("i"))))
+        for (given, ids), want in zip(fresh, self.library.encode([given for given, _ in fresh], num_threads=1)):
             if ids != want:
-                raise ValueError(f"ids of {text[:60]!r} differ from the library's")
+                raise ValueError(f"ids of {given[:60]!r} differ from the library's")
 
     def encode(self, text: str) -> tuple[bytes, str]:
         """Ids of a text as the library gives them (32-bit numbers), and the text that its ``decode`` makes of them."""
         if not text:
             return b"", ""
         normal = SPACE + text.replace(" ", SPACE) if self.plain else self.library.normalize(text)
-        found = list(map(self.chunk, _CHUNK.findall(normal) if self.splits else [normal]))
+        found = list(map(self.chunk, self.cut(normal)))
         decoded = "".join([part[1] for part in found])
         return b"".join([part[0] for part in found]), decoded[1:] if decoded.startswith(" ") else decoded
 
@@ -182,8 +202,9 @@ def encode(
         vocabulary = _vocabulary(shared.value, check)
 
         def work(column: pa.Array) -> list[pa.Array]:
-            found = [vocabulary.encode(value or "") for value in column.to_pylist()]
-            vocabulary.verify()
+            texts = [value or "" for value in column.to_pylist()]
+            found = [vocabulary.encode(text) for text in texts]
+            vocabulary.verify(texts[0] if texts else "")
             ends = np.cumsum([0, *[len(part) // 4 for part, _ in found]], dtype=np.int32)
             flat = np.frombuffer(b"".join([part for part, _ in found]), dtype=np.int32)
             return [
