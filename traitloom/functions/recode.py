@@ -45,8 +45,12 @@ def decode_month(
 
 
 def label(column: Column, labels: Mapping[str, Sequence[str]]) -> Column:
-    """Many-to-one: the label whose name list holds the value, NULL when none does."""
-    return lookup(column, {member: name for name, members in labels.items() for member in members}).cast("string")
+    """Many-to-one: the first label whose name list holds the value, NULL when none does."""
+    first: dict[str, str] = {}
+    for name, members in labels.items():
+        for member in members:
+            first.setdefault(member, name)
+    return lookup(column, first).cast("string")
 
 
 def override_in(key: Column, keys: Sequence[str], value: str, column: Column) -> Column:

@@ -22,5 +22,10 @@ def clean_value(spec: TraitSpec) -> Column:
 
 
 def wanted_records(eav: DataFrame, spec: TraitSpec) -> DataFrame:
-    """Records of the wanted traits that hold a value. Both conditions reach the scan."""
-    return eav.filter(F.col("TraitID").isin(list(spec.trait_ids)) & has_text(F.col("OrigValueStr")))
+    """Records of the wanted traits that hold a value, also once misprints are corrected. The conditions reach the scan."""
+    value = F.col("OrigValueStr")
+    holds = has_text(value)
+    blanked = [raw for raw, fixed in spec.value_fixes.items() if not (fixed or "").strip()]
+    if blanked:
+        holds = holds & ~value.isin(blanked)
+    return eav.filter(F.col("TraitID").isin(list(spec.trait_ids)) & holds)

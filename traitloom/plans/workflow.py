@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import datetime
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -14,6 +15,7 @@ from traitloom.plans.numbers import unmapped_numbers, wide_numbers
 from traitloom.plans.spec import CURATED_COLUMNS, DEFAULT_SPEC, TraitSpec
 from traitloom.plans.stats import write_profiles
 from traitloom.plans.text import unmapped_text, wide_text
+from traitloom.session import CLUSTER_SETTINGS, SETTINGS
 from traitloom.sources.readers import read_attributes, read_eav_tsv
 from traitloom.sources.writers import write_snapshot
 
@@ -61,7 +63,11 @@ def main() -> None:
     parser.add_argument("out", help="output folder")
     parser.add_argument("--run-date", default=datetime.date.today().isoformat())
     args = parser.parse_args()
-    spark = SparkSession.builder.appName("traitloom").getOrCreate()
+    conf = SparkConf()
+    local = conf.get("spark.master", "local").startswith("local")
+    for name, value in (SETTINGS if local else CLUSTER_SETTINGS).items():
+        conf.setIfMissing(name, value)
+    spark = SparkSession.builder.appName("traitloom").config(conf=conf).getOrCreate()
     for name, path in run(spark, args.raw, args.curated, args.out, args.run_date).items():
         print(f"{name}\t{path}")
     spark.stop()

@@ -13,8 +13,9 @@ from traitloom.operators.columns import ref, require
 
 EAV_COLUMNS = ("TraitID", "AccSpeciesName", "TraitName", "DataName", "OrigValueStr", "OrigUnitStr")
 
-# Quotes inside a quoted field are doubled; blanks around a field belong to the value.
-CSV_FORMAT = {"header": True, "escape": '"'}
+# Quotes inside a quoted field are doubled; blanks around a field belong to the value. A quoted text may hold line breaks, so
+# a file is not split: keep files small, as our writers do. A header that differs from the schema is an error.
+CSV_FORMAT = {"header": True, "escape": '"', "multiLine": True, "enforceSchema": False}
 
 
 def _map_text(df: DataFrame, change) -> DataFrame:
@@ -40,6 +41,9 @@ def read_eav_tsv(spark: SparkSession, path: str, schema: StructType | None = Non
 
     Give the schema for production runs. Without one the names come from the header line alone (no inference pass): the
     trait id is an integer, everything else text. A blank unit must stay ``""``: it decides the name of the wide column.
+
+    A file whose header differs from the schema is an error. Only where the names are read from a header with a column
+    that has no name, which Spark then names itself, are the files not compared.
     """
     reader = spark.read.options(
         header=True,
@@ -49,12 +53,14 @@ def read_eav_tsv(spark: SparkSession, path: str, schema: StructType | None = Non
         ignoreLeadingWhiteSpace=True,
         ignoreTrailingWhiteSpace=True,
     )
+    compare = True
     if schema is None:
         names = reader.csv(path).columns
+        compare = not any(n == f"_c{i}" for i, n in enumerate(names))
         schema = StructType(
             [StructField(n, IntegerType() if n == "TraitID" else StringType()) for n in names]
         )
-    df = _blank_is_text(reader.schema(schema).csv(path))
+    df = _blank_is_text(reader.option("enforceSchema", not compare).schema(schema).csv(path))
     require(df, EAV_COLUMNS)
     return df
 

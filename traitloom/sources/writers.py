@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 _CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
@@ -33,12 +32,11 @@ def write_eav_tsv(df: DataFrame, path: str) -> str:
 def write_snapshot(
     df: DataFrame, path: str, run_date: datetime.date | str, file_format: str = "parquet", na_text: str = ""
 ) -> str:
-    """Daily snapshot under ``run_date=YYYY-MM-DD``. A rerun replaces that day and leaves the others."""
+    """Daily snapshot under ``run_date=YYYY-MM-DD``. A rerun replaces that day, also by nothing, and leaves the others."""
     day = run_date if isinstance(run_date, str) else run_date.isoformat()
     datetime.date.fromisoformat(day)
-    writer = df.withColumn("run_date", F.lit(day)).write.mode("overwrite").partitionBy("run_date")
-    writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer = df.write.mode("overwrite")
     if file_format == "csv":
         writer = writer.options(**_CSV, nullValue=na_text)
-    writer.format(file_format).save(path)
+    writer.format(file_format).save(f"{path}/run_date={day}")
     return path
