@@ -128,15 +128,15 @@ def test_wide_forms_agree(spark, rows):
     data = [("s1", "a", "x", 1.0), ("s1", "a", "y", 2.0), ("s1", "b", "z", None), ("s2", None, "q", 4.0), ("s3", "c", "w", 5.0)]
     df = spark.createDataFrame(data, "s string, n string, t string, v double")
     names = ["a", "b", "zzz"]
-    collapsed = pivot_wider(collapse_text(df, ["s", "n"], "t"), "s", "n", "value_entry", names)
-    direct = collapse_wider(df, "s", "n", "t", names)
+    collapsed = pivot_wider(collapse_text(df, ["s", "n"], "t"), "s", "n", "value_entry", names, unlisted="drop")
+    direct = collapse_wider(df, "s", "n", "t", names, unlisted="drop")
     assert direct.columns == collapsed.columns == ["s", *names]
     assert rows(direct) == rows(collapsed)
     assert rows(direct) == [("s1", "x; y", "z", None), ("s2", None, None, None), ("s3", None, None, None)]
-    means = pivot_wider(mean_by(df, ["s", "n"], "v"), "s", "n", "value_entry", names)
-    assert rows(mean_wider(df, "s", "n", "v", names)) == rows(means)
+    means = pivot_wider(mean_by(df, ["s", "n"], "v"), "s", "n", "value_entry", names, unlisted="drop")
+    assert rows(mean_wider(df, "s", "n", "v", names, unlisted="drop")) == rows(means)
     assert rows(means)[0] == ("s1", 1.5, None, None)
-    assert rows(pivot_wider(df, "s", "n", "v", ["NA"])) == [("s1", None), ("s2", 4.0), ("s3", None)]
+    assert rows(pivot_wider(df, "s", "n", "v", ["NA"], unlisted="drop")) == [("s1", None), ("s2", 4.0), ("s3", None)]
 
 
 def test_relabel_equals_the_round_trip_through_the_long_form(spark, rows):

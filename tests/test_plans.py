@@ -43,7 +43,7 @@ def test_text_job_prunes_and_pushes(raw):
     shown = plan(wide_text(raw))
     assert "ReadSchema: struct<TraitID:int,AccSpeciesName:string,DataName:string,OrigValueStr:string,OrigUnitStr:string>" in shown
     assert re.search(r"PushedFilters: \[.*In\(TraitID", shown)
-    assert count(wide_text(raw), "Exchange ") == 4 and count(wide_text(raw), "rangepartitioning") == 1
+    assert count(wide_text(raw), "Exchange ") == 2 and count(wide_text(raw), "rangepartitioning") == 0
 
 
 def test_number_job_has_two_shuffles(raw):

@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from traitloom.functions.recode import label
+from traitloom.operators.aggregates import collapse_text
+from traitloom.operators.reshape import collapse_wider, mean_wider, pivot_wider
 from traitloom.plans.records import wanted_records
 from traitloom.plans.spec import DEFAULT_SPEC
 from traitloom.sources.readers import read_attributes, read_csv, read_eav_tsv
@@ -60,3 +62,27 @@ def test_a_value_corrected_to_blank_is_no_value(spark):
     trait = list(spec.trait_ids)[0]
     rows = [(trait, *ROW[1:4], "n/a", "mg"), (trait, *ROW[1:])]
     assert [r["OrigValueStr"] for r in wanted_records(spark.createDataFrame(rows, EAV), spec).collect()] == ["5"]
+
+
+def test_pivots_refuse_names_without_a_column_and_repeated_cells(spark):
+    df = spark.createDataFrame([("k", "a", "x"), ("k", "a", "y"), ("k", "c", "w")], "k string, n string, v string")
+    with pytest.raises(Exception, match="several entries"):
+        pivot_wider(df, "k", "n", "v", ["a", "c"]).collect()
+    for wide in (pivot_wider, collapse_wider, mean_wider):
+        with pytest.raises(Exception, match="names without a column, for example c"):
+            wide(df.filter("v <> 'y'").withColumn("v", F.lit("1")), "k", "n", "v", ["a"]).collect()
+    assert [tuple(r) for r in collapse_wider(df, "k", "n", "v", ["a"], unlisted="drop").collect()] == [("k", "x; y")]
+
+
+def test_collapse_takes_two_shuffles_and_reads_its_table_once(spark, tmp_path, capfd):
+    rows = [("k", "n", v) for v in ("b", "a", "b", None)]
+    spark.createDataFrame(rows, "k string, n string, v string").write.parquet(str(tmp_path / "c"))
+    df = spark.read.parquet(str(tmp_path / "c"))
+    for out, text in ((collapse_text(df, ["k"], "v"), "NA; a; b; b"), (collapse_wider(df, "k", "n", "v", ["n"]), "NA; a; b; b")):
+        capfd.readouterr()
+        out.explain()
+        shown = capfd.readouterr().out
+        assert shown.count("Exchange hashpartitioning") == 2 and "rangepartitioning" not in shown
+        assert shown.count("FileScan") == 1
+        assert out.first()[1] == text
+    assert collapse_wider(df, "k", "n", "v", ["n"], distinct=True).first()["n"] == "NA; a; b"

@@ -124,21 +124,23 @@ def rsh_pivot_string(spark, sf_dir):
     "rsh_collapse_wide",
     f"""WITH {_ENTRIES_SQL} SELECT entity,
     string_agg(value, '; ' ORDER BY value) FILTER (WHERE attribute = 'flag') AS flag,
-    string_agg(value, '; ' ORDER BY value) FILTER (WHERE attribute = 'ship_month') AS ship_month
+    string_agg(value, '; ' ORDER BY value) FILTER (WHERE attribute = 'ship_month') AS ship_month,
+    string_agg(value, '; ' ORDER BY value) FILTER (WHERE attribute IS NULL) AS "NA"
     FROM entries GROUP BY entity""",
 )
 def rsh_collapse_wide(spark, sf_dir):
-    return collapse_wider(_entries(spark, sf_dir), "entity", "attribute", "value", ["flag", "ship_month"])
+    return collapse_wider(_entries(spark, sf_dir), "entity", "attribute", "value", ["flag", "ship_month", "NA"])
 
 
 @query(
     "rsh_pivot_mean",
     """SELECT l_partkey, round(avg(CASE WHEN l_returnflag = 'A' THEN l_quantity END), 6) AS "A",
+    round(avg(CASE WHEN l_returnflag = 'N' THEN l_quantity END), 6) AS "N",
     round(avg(CASE WHEN l_returnflag = 'R' THEN l_quantity END), 6) AS "R" FROM lineitem GROUP BY l_partkey""",
 )
 def rsh_pivot_mean(spark, sf_dir):
-    wide = mean_wider(table(spark, sf_dir, "lineitem"), "l_partkey", "l_returnflag", "l_quantity", ["A", "R"])
-    return wide.select("l_partkey", F.round("A", 6).alias("A"), F.round("R", 6).alias("R"))
+    wide = mean_wider(table(spark, sf_dir, "lineitem"), "l_partkey", "l_returnflag", "l_quantity", ["A", "N", "R"])
+    return wide.select("l_partkey", *[F.round(c, 6).alias(c) for c in ("A", "N", "R")])
 
 
 @query(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from traitloom.operators.columns import keep, ref
@@ -26,12 +26,11 @@ def unique_projected(df: DataFrame, names: Sequence[str]) -> DataFrame:
 def collapse_parts(
     df: DataFrame, keys: Sequence[str], value: str, order_by: Sequence[str] = (), sep: str = "; "
 ) -> DataFrame:
-    """The text of every group in consecutive pieces: keys, piece number, piece.
+    """The text of every group in consecutive pieces: keys, piece number, piece. For groups too large for one cell.
 
     Rows are range-partitioned by key *and* order, so a group with very many values is spread over tasks in order and
-    no task sorts or holds the whole of it. Within a partition a group is a run of rows; the run becomes one string
-    before the shuffle that follows, which therefore carries one row per group and partition. Partition numbers rise
-    with the order, so the pieces only need to be put in line.
+    no task sorts or holds the whole of it. Within a partition a group is a run of rows, and partition numbers rise
+    with the order, so the pieces in line are the text. The range bounds are sampled by another pass over the input.
     """
     order = list(order_by) or [value]
     ordered = [ref(name).alias(f"__o{i}") for i, name in enumerate(order)]
@@ -47,9 +46,34 @@ def collapse_parts(
     )
 
 
-def join_parts(parts, sep: str = "; "):
-    """Pieces ``struct(piece number, text)`` put in line and joined."""
-    return F.array_join(F.transform(F.sort_array(parts), lambda x: x[TEXT]), sep)
+def collapse_entries(
+    df: DataFrame, keys: Sequence[str], value: str, order_by: Sequence[str] = (), distinct: bool = False
+) -> DataFrame:
+    """``keys``, the order and text of every different entry as ``__entry``, and how often it occurs as ``__n``.
+
+    Equal entries are counted on both sides of one shuffle by key *and* entry, so neither a group with very many values nor
+    one value that occurs very often lands in one task. With ``distinct`` every entry counts once.
+    """
+    # A string in its own order needs no order beside it.
+    plain = not order_by and df.schema[value].dataType.simpleString() == "string"
+    order = [] if plain else [ref(name).alias(f"__o{i}") for i, name in enumerate(list(order_by) or [value])]
+    rows = df.select(*[ref(k) for k in keys], *order, ref(value).cast("string").alias("__v"))
+    parts = rows.columns[len(keys) :]
+    grouped = rows.groupBy(*[ref(k) for k in keys], *parts)
+    counted = grouped.agg(F.lit(1).alias("__n")) if distinct else grouped.agg(F.count(F.lit(1)).cast("int").alias("__n"))
+    return counted.select(*[ref(k) for k in keys], F.struct(*parts).alias("__entry"), "__n")
+
+
+def join_entries(entries: Column, distinct: bool = False, sep: str = "; ") -> Column:
+    """A list of ``struct(__entry, __n)`` in order and joined; a missing text shows as ``NA``."""
+
+    def text(x: Column) -> Column:
+        return F.coalesce(x["__entry"]["__v"], F.lit("NA"))
+
+    line = F.sort_array(entries)
+    if distinct:
+        return F.array_join(F.transform(line, text), sep)
+    return F.array_join(F.flatten(F.transform(line, lambda x: F.array_repeat(text(x), x["__n"]))), sep)
 
 
 def collapse_text(
@@ -62,11 +86,12 @@ def collapse_text(
 ) -> DataFrame:
     """One string per group, values in the given order (by the value itself when none is given).
 
-    Nothing is deduplicated or cut; a missing value shows as ``NA``. The result of a group is one cell, which Spark
-    limits to 2 GB.
+    Nothing is deduplicated or cut; a missing value shows as ``NA``. Two shuffles and one read of the input. The result of a
+    group is one cell, which Spark limits to 2 GB; ``collapse_parts`` gives larger groups in pieces.
     """
-    parts = collapse_parts(df, keys, value, order_by, sep)
-    return parts.groupBy(*[ref(k) for k in keys]).agg(join_parts(F.collect_list(F.struct(PART, TEXT)), sep).alias(name))
+    entries = collapse_entries(df, keys, value, order_by)
+    line = join_entries(F.collect_list(F.struct("__entry", "__n")), sep=sep)
+    return entries.groupBy(*[ref(k) for k in keys]).agg(line.alias(name))
 
 
 def mean_by(df: DataFrame, keys: Sequence[str], value: str, name: str = "value_entry") -> DataFrame:

@@ -5,33 +5,62 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from traitloom.operators.aggregates import PART, TEXT, collapse_parts, join_parts
+from traitloom.operators.aggregates import collapse_entries, join_entries
 from traitloom.operators.columns import prefix_names, ref
 from traitloom.operators.filters import drop_in
 
 
-def pivot_wider(df: DataFrame, key: str, names_from: str, values_from: str, columns: Sequence[str]) -> DataFrame:
+def _refuse(wide: DataFrame, key: str, columns: Sequence[str], unlisted: str, repeated: bool = False) -> DataFrame:
+    """The key and the columns; an error, when the rows are read, if a name is not listed or a cell has several entries."""
+    if unlisted not in ("error", "drop"):
+        raise ValueError(f"unlisted: {unlisted!r} is neither 'error' nor 'drop'")
+    # The check sits in a column that is read, so that column pruning cannot leave it out.
+    checked: Column = ref(key)
+    if unlisted == "error":
+        message = F.concat(F.lit("names without a column, for example "), F.col("__unlisted"))
+        checked = F.when(F.col("__unlisted").isNotNull(), F.raise_error(message)).otherwise(checked)
+    if repeated:
+        message = F.lit("several entries for one key and name")
+        checked = F.when(F.col("__most") > 1, F.raise_error(message)).otherwise(checked)
+    return wide.select(checked.alias(key), *[ref(name) for name in columns])
+
+
+def _unlisted(name: Column, columns: Sequence[str]) -> Column:
+    return F.min(F.when(~name.isin(list(columns)), name)).alias("__unlisted")
+
+
+def pivot_wider(
+    df: DataFrame, key: str, names_from: str, values_from: str, columns: Sequence[str], unlisted: str = "error"
+) -> DataFrame:
     """One row per key, one column per listed name, NULL where there is no entry.
 
-    A missing name counts as the name ``NA``. The input holds one entry per key and name; ``max`` makes the outcome
-    independent of row order if it does not.
+    A missing name counts as the name ``NA``. Two entries for one key and listed name are an error, and so are names outside
+    the list unless ``unlisted`` is ``"drop"``.
     """
-    named = df.select(ref(key), F.coalesce(ref(names_from), F.lit("NA")).alias("__name"), ref(values_from).alias("__v"))
-    return named.groupBy(ref(key)).pivot("__name", list(columns)).agg(F.max("__v"))
+    name = F.col("__name")
+    named = df.select(ref(key), F.coalesce(ref(names_from), F.lit("NA")).alias("__name"), ref(values_from).alias("__value"))
+    cells = [F.max(F.when(name == c, F.col("__value"))).alias(c) for c in columns]
+    counts = [F.count_if(name == c) for c in columns]
+    most = F.greatest(F.lit(0), F.lit(0), *counts).alias("__most")
+    wide = named.groupBy(ref(key)).agg(*cells, most, _unlisted(name, columns))
+    return _refuse(wide, key, columns, unlisted, repeated=True)
 
 
-def mean_wider(df: DataFrame, key: str, names_from: str, value: str, columns: Sequence[str]) -> DataFrame:
+def mean_wider(
+    df: DataFrame, key: str, names_from: str, value: str, columns: Sequence[str], unlisted: str = "error"
+) -> DataFrame:
     """Mean per key and name, straight into the wide form.
 
     Same result as grouping by key and name and pivoting, with one shuffle instead of two. Sums and counts are combined
-    before the shuffle, so a key with a large share of the rows sends one row per task.
+    before the shuffle, so a key with a large share of the rows sends one row per task. A missing name counts as ``NA``;
+    names outside the list are an error unless ``unlisted`` is ``"drop"``.
     """
-    return df.groupBy(ref(key)).agg(
-        *[F.avg(F.when(ref(names_from) == name, ref(value))).alias(name) for name in columns]
-    )
+    name = F.coalesce(ref(names_from), F.lit("NA"))
+    cells = [F.avg(F.when(name == c, ref(value))).alias(c) for c in columns]
+    return _refuse(df.groupBy(ref(key)).agg(*cells, _unlisted(name, columns)), key, columns, unlisted)
 
 
 def collapse_wider(
@@ -42,12 +71,19 @@ def collapse_wider(
     columns: Sequence[str],
     order_by: Sequence[str] = (),
     sep: str = "; ",
+    unlisted: str = "error",
+    distinct: bool = False,
 ) -> DataFrame:
-    """Text collapse per key and name, straight into the wide form: the pieces of a group are joined and placed at once."""
-    parts = collapse_parts(df, [key, names_from], value, order_by, sep)
-    pieces = F.collect_list(F.struct(PART, TEXT))
-    cell = F.when(F.size(pieces) > 0, join_parts(pieces, sep))
-    return parts.groupBy(ref(key)).pivot(names_from, list(columns)).agg(cell)
+    """Text collapse per key and name, straight into the wide form, in two shuffles. With ``distinct`` equal entries count once.
+
+    A missing name counts as ``NA``; names outside the list are an error unless ``unlisted`` is ``"drop"``.
+    """
+    name = F.coalesce(ref(names_from), F.lit("NA"))
+    entries = collapse_entries(df, [key, names_from], value, order_by, distinct)
+    pieces = [F.collect_list(F.when(name == c, F.struct("__entry", "__n"))).alias(c) for c in columns]
+    listed = entries.groupBy(ref(key)).agg(*pieces, _unlisted(name, columns))
+    cells = [F.when(F.size(ref(c)) > 0, join_entries(ref(c), distinct, sep)).alias(c) for c in columns]
+    return _refuse(listed.select(ref(key), *cells, "__unlisted"), key, columns, unlisted)
 
 
 def pivot_longer(

@@ -57,7 +57,7 @@ def wide_numbers(eav: DataFrame, spec: TraitSpec = DEFAULT_SPEC) -> DataFrame:
         .select(SPECIES, *[F.when(known, ref(name)).alias(name) for name in eav.columns])
         .distinct()
     )
-    return mean_wider(_measurements(distinct, spec), "species", "trait_units", "value", spec.number_columns)
+    return mean_wider(_measurements(distinct, spec), "species", "trait_units", "value", spec.number_columns, unlisted="drop")
 
 
 def unmapped_numbers(eav: DataFrame, spec: TraitSpec = DEFAULT_SPEC) -> DataFrame:

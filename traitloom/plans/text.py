@@ -43,12 +43,10 @@ def wide_text(eav: DataFrame, spec: TraitSpec = DEFAULT_SPEC) -> DataFrame:
     per species before the shuffle; ``unmapped_text`` lists them.
     """
     known = F.col("trait_units").isin(list(spec.text_columns))
-    entries = (
-        text_entries(eav, spec)
-        .select("species", F.when(known, F.col("trait_units")).alias("name"), F.when(known, F.col("value")).alias("value"))
-        .distinct()
+    entries = text_entries(eav, spec).select(
+        "species", F.when(known, F.col("trait_units")).alias("name"), F.when(known, F.col("value")).alias("value")
     )
-    return collapse_wider(entries, "species", "name", "value", spec.text_columns)
+    return collapse_wider(entries, "species", "name", "value", spec.text_columns, unlisted="drop", distinct=True)
 
 
 def unmapped_text(eav: DataFrame, spec: TraitSpec = DEFAULT_SPEC) -> DataFrame:
