@@ -1,4 +1,4 @@
-"""Main text of web pages: streaming parser events, text-to-tag ratios per line, smoothing and a threshold over regions."""
+"""Main text of web pages: streaming parser events, text-to-tag ratios per line, smoothing and the subtrees of the dense lines."""
 
 from __future__ import annotations
 
@@ -47,7 +47,7 @@ class Line:
     text: str
     tags: int
     link_chars: int
-    region: int
+    node: int
     landmark: bool
     excluded: bool
 
@@ -59,16 +59,19 @@ class PageEvents(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
         self.pieces: list[str] = []
-        self.tags = self.link_chars = self.links = self.regions = 0
-        # name, unseen, excluded, landmark, region
+        self.tags = self.link_chars = self.links = 0
+        #: Container each container stands in, and those that are the page itself.
+        self.parents: list[int] = [0]
+        self.outer: set[int] = {0}
+        # name, unseen, excluded, landmark, node
         self.stack: list[tuple[str, bool, bool, bool, int]] = [("", False, False, False, 0)]
 
     def flush(self) -> None:
         text = " ".join("".join(self.pieces).split())
         self.pieces.clear()
         if text:
-            _, _, excluded, landmark, region = self.stack[-1]
-            self.lines.append(Line(text, self.tags, min(self.link_chars, len(text)), region, landmark, excluded))
+            _, _, excluded, landmark, node = self.stack[-1]
+            self.lines.append(Line(text, self.tags, min(self.link_chars, len(text)), node, landmark, excluded))
             self.tags = self.link_chars = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -79,16 +82,15 @@ class PageEvents(HTMLParser):
             self.links += 1
         if tag not in CONTAINERS:
             return
-        _, unseen, excluded, landmark, region = self.stack[-1]
+        _, unseen, excluded, landmark, node = self.stack[-1]
         if tag in LANDMARKS and not landmark:
             # An article begins its own part of the page, also where something before it was not closed.
-            self.regions += 1
-            unseen, excluded, landmark, region = False, False, True, self.regions
-        elif tag in ("article", "section", "div", "td", "body") and not landmark:
-            self.regions += 1
-            region = self.regions
+            unseen, excluded, landmark = False, False, True
         excluded = excluded or tag in NOT_CONTENT or (tag == "header" and not landmark) or _is_part(tag, attrs)
-        self.stack.append((tag, unseen or tag in UNSEEN, excluded, landmark, region))
+        self.stack.append((tag, unseen or tag in UNSEEN, excluded, landmark, len(self.parents)))
+        if tag in ("html", "body"):
+            self.outer.add(len(self.parents))
+        self.parents.append(node)
 
     def handle_startendtag(self, tag: str, attrs) -> None:
         self.tags += 1
@@ -120,12 +122,12 @@ def _is_part(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
     return bool(named) and not PART_WORDS.isdisjoint(_WORD.findall(named.lower()))
 
 
-def lines_of(html: str) -> list[Line]:
+def events_of(html: str) -> PageEvents:
     events = PageEvents()
     events.feed(html)
     events.close()
     events.flush()
-    return events.lines
+    return events
 
 
 def smoothed(ratios: np.ndarray) -> np.ndarray:
@@ -150,34 +152,55 @@ def threshold(values: np.ndarray) -> float:
     return cut
 
 
-def content_lines(lines: list[Line]) -> list[Line]:
-    """The lines of the content regions.
+def content_lines(page: PageEvents) -> list[Line]:
+    """The lines of the content.
 
-    Every line has its text-to-tag ratio, text in links not counted. Ratios are smoothed and cut in two clusters. A region
-    (an article or main element; else the innermost division a line stands in) is content if one of its lines is in the high
-    cluster, and then all its lines are: a short paragraph stays with its article. Lines inside menus, adverts and the like
-    are never content. If the page has article or main elements, regions outside them are not content either; if none of the
-    candidates has a high line, the one with the highest smoothed ratio is taken.
+    Lines inside menus, adverts and the like are never content. If the page has article or main elements, all their other
+    lines are content and nothing outside them is. Else every line has its text-to-tag ratio, text in links not counted;
+    ratios are smoothed and cut in two clusters, and the lines of the high one that are not mostly links are dense. Content
+    are all lines from the first dense line to the last, and the whole of every container that holds one itself. A line
+    before or after them (a title, a closing line, a short section) is content too unless it is clearly apart, the
+    text of its innermost container being links for the most part; lines right in a container around the dense ones
+    are judged each for itself. If no candidate is dense, the one with the highest smoothed ratio stands for it.
     """
+    lines = page.lines
     candidates = [i for i, line in enumerate(lines) if not line.excluded]
     if any(lines[i].landmark for i in candidates):
-        candidates = [i for i in candidates if lines[i].landmark]
+        return [lines[i] for i in candidates if lines[i].landmark]
     if not candidates:
         return []
     ratios = np.array([(len(line.text) - line.link_chars) / (1 + line.tags) for line in lines], dtype=float)
     smooth = smoothed(ratios)
     high = smooth >= threshold(smooth)
-    regions = {lines[i].region for i in candidates if high[i]}
-    if not regions:
-        regions = {lines[max(candidates, key=lambda i: smooth[i])].region}
-    return [lines[i] for i in candidates if lines[i].region in regions]
+    dense = [i for i in candidates if high[i] and 2 * lines[i].link_chars < len(lines[i].text)]
+    if not dense:
+        dense = [max(candidates, key=lambda i: smooth[i])]
+    whole = {lines[i].node for i in dense}
+    around = set()
+    for node in whole:
+        while node not in around:
+            around.add(node)
+            node = page.parents[node]
+    whole -= page.outer
+    inside = [node in whole for node in range(len(page.parents))]
+    for node in range(1, len(inside)):
+        inside[node] = inside[node] or inside[page.parents[node]]
+    groups: dict[tuple[int, int], list[int]] = {}
+    for i in candidates:
+        if not dense[0] <= i <= dense[-1] and not inside[lines[i].node]:
+            groups.setdefault((lines[i].node, i if lines[i].node in around else -1), []).append(i)
+    apart = set()
+    for group in groups.values():
+        if 2 * sum(lines[i].link_chars for i in group) >= sum(len(lines[i].text) for i in group):
+            apart.update(group)
+    return [lines[i] for i in candidates if i not in apart]
 
 
 def main_text(html: str) -> tuple[str, int, int]:
     """Text of the content lines joined by single spaces, lines on the page, lines kept."""
-    lines = lines_of(html)
-    kept = content_lines(lines)
-    return " ".join(line.text for line in kept), len(lines), len(kept)
+    page = events_of(html)
+    kept = content_lines(page)
+    return " ".join(line.text for line in kept), len(page.lines), len(kept)
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:
