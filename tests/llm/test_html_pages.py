@@ -47,3 +47,40 @@ def test_whole_article_is_kept(body, want):
 def test_link_lists_stay_with_the_article_that_holds_them():
     links = "<ul><li><a href=a>source one</a></li><li><a href=b>source two</a></li></ul>"
     assert main_text(page(MENU + f"<div>{PARAGRAPHS}{links}</div>" + MENU))[0] == " ".join([*LONG, "source one source two"])
+
+
+@pytest.mark.parametrize("mark", ['class="page no-sidebar"', 'class="content-with-sidebar"', 'class="elementor-widget-container"',
+                                  'id="search-engines"', 'class="widget"', 'class="sidebar-right"'])
+def test_a_mark_never_takes_the_article(mark):
+    body = MENU + f"<div {mark}><h1>title</h1>{PARAGRAPHS}</div><div class=\"cookie-notice\">we use cookies</div>"
+    assert main_text(page(body))[0] == " ".join(["title", *LONG])
+
+
+def test_a_name_that_only_holds_a_part_word_marks_nothing():
+    body = f'<section><p>{prose(600)}</p></section><section id="search-engines"><p>{prose(200)}</p></section>'
+    assert main_text(page(body))[0] == " ".join([prose(600), prose(200)])
+
+
+@pytest.mark.parametrize(
+    "more",
+    [
+        f'<article class="comment"><p>{prose(90)}</p></article>',
+        f'<div class="comments"><article><p>{prose(90)}</p></article></div>',
+        f"<aside><article><h2>more</h2><p>{prose(90)}</p></article></aside>",
+        f'<article class="teaser"><p>{prose(90)}</p></article>',
+        f'<article id="c1" class="Comment depth_1"><p>{prose(90)}</p></article>' * 9,
+    ],
+)
+def test_comments_and_teasers_stay_out(more):
+    assert main_text(page(f"<main><h1>title</h1>{PARAGRAPHS}</main>" + more))[0] == " ".join(["title", *LONG])
+
+
+def test_what_was_not_closed_does_not_take_the_article():
+    for before in ('<div class="ad">buy', "<nav><a href=x>home</a>", "<form><select><option>one"):
+        assert main_text(page(before + f"<article><h1>title</h1>{PARAGRAPHS}</article>"))[0] == " ".join(["title", *LONG])
+
+
+def test_names_alone_never_leave_a_page_empty():
+    body = "<nav>menu</nav>" + "".join(f'<div class="widget"><p>{prose(200)}</p></div>' for _ in range(3))
+    assert main_text(page(body))[0] == " ".join([prose(200)] * 3)
+    assert main_text(page("<nav><a href=a>menu</a></nav>"))[0] == ""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
@@ -27,14 +26,25 @@ UNSEEN = frozenset("head title script style noscript template iframe object svg
 NOT_CONTENT = frozenset("nav menu footer aside form button select textarea dialog".split())
 LANDMARKS = frozenset(("article", "main"))
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-#: Words of class, id and role values that mark a part of the page that is not its article.
-PART_WORDS = frozenset(
+#: Elements that can hold no article; one that begins in them stands in something that was not closed.
+CONTROLS = frozenset("button select textarea".split())
+#: Class, id and role names that mark a part of the page that is not its article: whole names, compounds included.
+PART_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion menu nav navbar "
     "navigation breadcrumb breadcrumbs sidebar aside footer masthead toolbar notice notices cookie cookies consent gdpr popup "
     "modal overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments "
-    "commentlist disqus replies respond pagination pager widget contentinfo complementary search".split()
+    "commentlist disqus replies respond pagination pager widget contentinfo complementary search "
+    "ad-banner ad-box ad-container ad-slot ad-unit ad-wrapper adsbygoogle banner-ad main-menu main-nav main-navigation nav-bar "
+    "nav-links nav-menu page-navigation post-navigation primary-navigation site-nav site-navigation breadcrumb-nav "
+    "breadcrumb-trail left-sidebar primary-sidebar right-sidebar secondary-sidebar sidebar-left sidebar-primary sidebar-right "
+    "sidebar-secondary widget-area page-footer site-footer footer-nav footer-widgets cookie-banner cookie-bar cookie-consent "
+    "cookie-notice gdpr-banner newsletter-form newsletter-signup login-form signup-form share-buttons share-links sharing-buttons "
+    "social-buttons social-icons social-links social-media social-share related-articles related-links related-posts "
+    "recommended-articles comment-form comment-list comment-respond comments-area comments-section search-bar search-box "
+    "search-form searchbar searchbox searchform".split()
 )
-_WORD = re.compile(r"[a-z]+")
+#: Names by which an article element itself is not the article of the page.
+ARTICLE_NAMES = frozenset("comment comments reply replies teaser teasers".split())
 
 #: Standard deviation of the smoothing kernel in lines, and how far it reaches.
 SIGMA, REACH = 1.0, 2
@@ -42,14 +52,12 @@ SIGMA, REACH = 1.0, 2
 
 @dataclass
 class Line:
-    """A block of text: its pieces joined, tags met since the last one, characters inside links, and where it stands."""
+    """A block of text: its pieces joined, tags met since the last one, characters inside links, and its container."""
 
     text: str
     tags: int
     link_chars: int
     node: int
-    landmark: bool
-    excluded: bool
 
 
 class PageEvents(HTMLParser):
@@ -60,18 +68,21 @@ class PageEvents(HTMLParser):
         self.lines: list[Line] = []
         self.pieces: list[str] = []
         self.tags = self.link_chars = self.links = 0
-        #: Container each container stands in, and those that are the page itself.
+        #: Element name of each container, the container it stands in, and whether it is in an article or main element.
+        self.names: list[str] = [""]
         self.parents: list[int] = [0]
-        self.outer: set[int] = {0}
-        # name, unseen, excluded, landmark, node
-        self.stack: list[tuple[str, bool, bool, bool, int]] = [("", False, False, False, 0)]
+        self.landmarks: list[bool] = [False]
+        #: Containers that are no part of the article, by element and by class, id or role.
+        self.by_element: set[int] = set()
+        self.by_name: set[int] = set()
+        # name, unseen, node
+        self.stack: list[tuple[str, bool, int]] = [("", False, 0)]
 
     def flush(self) -> None:
         text = " ".join("".join(self.pieces).split())
         self.pieces.clear()
         if text:
-            _, _, excluded, landmark, node = self.stack[-1]
-            self.lines.append(Line(text, self.tags, min(self.link_chars, len(text)), node, landmark, excluded))
+            self.lines.append(Line(text, self.tags, min(self.link_chars, len(text)), self.stack[-1][2]))
             self.tags = self.link_chars = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -82,15 +93,21 @@ class PageEvents(HTMLParser):
             self.links += 1
         if tag not in CONTAINERS:
             return
-        _, unseen, excluded, landmark, node = self.stack[-1]
+        _, unseen, parent = self.stack[-1]
+        node, landmark = len(self.parents), self.landmarks[parent]
         if tag in LANDMARKS and not landmark:
-            # An article begins its own part of the page, also where something before it was not closed.
-            unseen, excluded, landmark = False, False, True
-        excluded = excluded or tag in NOT_CONTENT or (tag == "header" and not landmark) or _is_part(tag, attrs)
-        self.stack.append((tag, unseen or tag in UNSEEN, excluded, landmark, len(self.parents)))
-        if tag in ("html", "body"):
-            self.outer.add(len(self.parents))
-        self.parents.append(node)
+            # An article is read also where something before it was not closed.
+            unseen, landmark = False, True
+        elif tag == "header" and not landmark:
+            self.by_element.add(node)
+        if tag in NOT_CONTENT:
+            self.by_element.add(node)
+        if _is_part(tag, attrs):
+            self.by_name.add(node)
+        self.names.append(tag)
+        self.parents.append(parent)
+        self.landmarks.append(landmark)
+        self.stack.append((tag, unseen or tag in UNSEEN, node))
 
     def handle_startendtag(self, tag: str, attrs) -> None:
         self.tags += 1
@@ -116,10 +133,10 @@ class PageEvents(HTMLParser):
 
 
 def _is_part(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-    if tag in ("body", "html", "article", "main"):
+    if tag in ("body", "html", "main"):
         return False
     named = " ".join(value for name, value in attrs if value and name in ("class", "id", "role"))
-    return bool(named) and not PART_WORDS.isdisjoint(_WORD.findall(named.lower()))
+    return bool(named) and not (ARTICLE_NAMES if tag == "article" else PART_NAMES).isdisjoint(named.lower().replace("_", "-").split())
 
 
 def events_of(html: str) -> PageEvents:
@@ -130,6 +147,29 @@ def events_of(html: str) -> PageEvents:
     return events
 
 
+def excluded_nodes(page: PageEvents, by_name: bool = True) -> list[bool]:
+    """Whether each container is, or stands in, a part of the page that is not its article.
+
+    A mark counts only on a container that has at most half of the page's text, text in links not counted: what holds more is the
+    page, whatever it is called, or was never closed. Only controls and their like are left out at any length. An article
+    in a part that is left out is left out too; a main element never is.
+    """
+    text = [0] * len(page.parents)
+    for line in page.lines:
+        text[line.node] += len(line.text) - line.link_chars
+    for node in range(len(text) - 1, 0, -1):
+        text[page.parents[node]] += text[node]
+    marks = page.by_element | page.by_name if by_name else page.by_element
+    part, control = [False] * len(text), [False] * len(text)
+    for node in range(1, len(text)):
+        parent, tag = page.parents[node], page.names[node]
+        if tag == "main":
+            continue
+        control[node] = tag in CONTROLS or (control[parent] and tag != "article")
+        part[node] = part[parent] or (node in marks and tag not in CONTROLS and 2 * text[node] <= text[0])
+    return [a or b for a, b in zip(part, control)]
+
+
 def smoothed(ratios: np.ndarray) -> np.ndarray:
     """Gaussian smoothing over neighbouring lines; beyond either end there is nothing."""
     offsets = np.arange(-REACH, REACH + 1)
@@ -155,7 +195,8 @@ def threshold(values: np.ndarray) -> float:
 def content_lines(page: PageEvents) -> list[Line]:
     """The lines of the content.
 
-    Lines inside menus, adverts and the like are never content. If the page has article or main elements, all their other
+    Lines inside menus, adverts and the like (``excluded_nodes``) are never content; if that leaves nothing, only the elements
+    say what is none, not the names. If the page has article or main elements, all their other
     lines are content and nothing outside them is. Else every line has its text-to-tag ratio, text in links not counted;
     ratios are smoothed and cut in two clusters, and the lines of the high one that are not mostly links are dense. Content
     are all lines from the first dense line to the last, and the whole of every container that holds one itself. A line
@@ -164,9 +205,13 @@ def content_lines(page: PageEvents) -> list[Line]:
     are judged each for itself. If no candidate is dense, the one with the highest smoothed ratio stands for it.
     """
     lines = page.lines
-    candidates = [i for i, line in enumerate(lines) if not line.excluded]
-    if any(lines[i].landmark for i in candidates):
-        return [lines[i] for i in candidates if lines[i].landmark]
+    excluded = excluded_nodes(page)
+    candidates = [i for i, line in enumerate(lines) if not excluded[line.node]]
+    if not candidates:
+        excluded = excluded_nodes(page, by_name=False)
+        candidates = [i for i, line in enumerate(lines) if not excluded[line.node]]
+    if any(page.landmarks[lines[i].node] for i in candidates):
+        return [lines[i] for i in candidates if page.landmarks[lines[i].node]]
     if not candidates:
         return []
     ratios = np.array([(len(line.text) - line.link_chars) / (1 + line.tags) for line in lines], dtype=float)
@@ -181,7 +226,7 @@ def content_lines(page: PageEvents) -> list[Line]:
         while node not in around:
             around.add(node)
             node = page.parents[node]
-    whole -= page.outer
+    whole = {node for node in whole if page.names[node] not in ("", "html", "body")}
     inside = [node in whole for node in range(len(page.parents))]
     for node in range(1, len(inside)):
         inside[node] = inside[node] or inside[page.parents[node]]
