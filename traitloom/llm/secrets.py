@@ -200,12 +200,16 @@ def random_samples(spark: SparkSession, n: int = MAX_SAMPLES) -> DataFrame:
 
 
 def word_samples(docs: DataFrame, text: str = "text", n: int = MAX_SAMPLES, texts: int = 2_000) -> DataFrame:
-    """At most ``n`` ordinary identifiers (label 0): words of letters only, from at most ``texts`` texts.
+    """At most ``n`` ordinary identifiers (label 0): words of letters only, from at most ``texts`` different texts.
 
-    The texts are those with the smallest hashes, the words are the longest ones (ties by spelling): long words are what
-    a random string could be mistaken for. Both bounds are parameters of the fit, not of the scan.
+    The texts are those with the smallest hashes, copies counted once; the words are the longest ones (ties by spelling):
+    long words are what a random string could be mistaken for. Both bounds are parameters of the fit, not of the scan.
     """
-    chosen = docs.select(ref(text).cast("string").alias("t")).filter("t is not null").orderBy(F.xxhash64("t"), "t").limit(texts)
+    whole = docs.select(ref(text).cast("string").alias("t")).filter("t is not null")
+    hashes = whole.select(F.xxhash64("t").alias("h")).distinct().orderBy("h").limit(texts)
+    # The hashes are chosen first, so that only the texts that have one of them are shuffled.
+    own = whole.select(F.xxhash64("t").alias("h"), "t").join(F.broadcast(hashes), "h")
+    chosen = own.select("t").distinct().orderBy(F.xxhash64("t"), "t").limit(texts)
     words = chosen.select(F.explode(F.regexp_extract_all("t", F.lit("[A-Za-z]{4,}"), F.lit(0))).alias("text")).distinct()
     kept = words.orderBy(F.length("text").desc(), "text").limit(n)
     return kept.select(F.lit(0).alias("label"), "text")
