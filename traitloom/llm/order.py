@@ -67,7 +67,10 @@ def _open(uri: str) -> tuple[pa.fs.FileSystem, str]:
 
 
 def _put(folder: str, shard: int, data: bytes) -> str:
-    """Writes a shard under its final name in one step. Attempts write the same bytes, so the last one may win."""
+    """Writes a shard under its final name in one step.
+
+    The folder was empty when the run began, so a shard that is there is from another attempt, which wrote the same bytes.
+    """
     files, base = _open(folder)
     path = shard_path(base, shard)
     there = files.get_file_info(path)
@@ -80,6 +83,12 @@ def _put(folder: str, shard: int, data: bytes) -> str:
     return shard_path(folder, shard)
 
 
+def _require_empty(folder: str) -> None:
+    files, base = _open(folder)
+    if files.get_file_info(pa.fs.FileSelector(base, allow_not_found=True)):
+        raise FileExistsError(f"{folder} is not empty: shards of another run would be read with the new ones")
+
+
 def materialise(
     sequences: DataFrame,
     folder: str,
@@ -98,8 +107,10 @@ def materialise(
     input is read (partition by partition, counted first), and ``Permutation`` makes slots of the numbers. Should the second
     reading be split differently, as when the cluster changed in between, the counts do not agree and the job fails instead
     of giving a slot twice. The slots are taken in ``waves`` ranges, each shuffled by shard and written before the next.
-    A null id is kept as null; repeated rows are sequences of their own. Other columns are not carried.
+    A null id is kept as null; repeated rows are sequences of their own. Other columns are not carried. ``folder`` must be
+    new or empty, for the readers take every shard in it.
     """
+    _require_empty(folder)
     spark = sequences.sparkSession
     step = row_tokens * token_bytes
     source = sequences.select(ref(id_column).cast("long").alias("id"), ref(tokens).cast("binary").alias("tokens"))
