@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from traitloom.llm import tokens
 from traitloom.llm.common import ref, with_columns
 
-#: Labelled rows the model is fitted on, at most: those whose ids have the smallest hashes.
+#: Labelled rows the model is fitted on, at most: those of the documents whose ids have the smallest hashes.
 MAX_TRAIN = 8_000
 WORD_BUCKETS = 1 << 15
 BINS = 8
@@ -209,19 +209,24 @@ def fit(f: Features, metadata: np.ndarray, labels: np.ndarray, epochs: int = 12,
 def training_rows(
     docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", label: str = "quality", limit: int = MAX_TRAIN
 ) -> DataFrame:
-    """``docs`` rows with their label as ``__label``, for at most ``limit`` labelled ids outside the held-out ones.
+    """``docs`` rows with their label as ``__label``, at most ``limit``, none of a held-out id.
 
-    Null ids and labels other than 0 and 1 are left out, equal rows of the label table count once. The chosen ids are
-    bounded by the parameter, so they may be broadcast.
+    Null ids and labels other than 0 and 1 are left out, equal rows of the label table count once. The bound is put on the labelled
+    ids that ``docs`` holds, so it is filled where there are as many. An id that repeats in ``docs`` gives one row, the one with
+    the greatest values. The chosen ids are bounded by the parameter, so they may be broadcast.
     """
+    held = docs.select(ref(id_column).alias("__held")).filter("__held is not null").distinct()
     chosen = (
         labels.select(ref(id_column).alias("__id"), ref(label).cast("int").alias("__label"))
         .filter(F.col("__id").isNotNull() & F.col("__label").isin(0, 1) & ~held_out(F.col("__id")))
         .distinct()
+        .join(held, F.col("__id") == F.col("__held"), "left_semi")
         .orderBy(F.xxhash64("__id"), "__id", "__label")
         .limit(limit)
     )
-    return docs.join(F.broadcast(chosen), ref(id_column) == F.col("__id")).drop("__id")
+    found = docs.join(F.broadcast(chosen), ref(id_column) == F.col("__id"))
+    one = found.groupBy("__id", "__label").agg(F.max(F.struct(*[ref(n) for n in docs.columns])).alias("__row"))
+    return one.select("__row.*", "__label")
 
 
 def train(
