@@ -146,12 +146,8 @@ class MergeVocabulary:
         """Ids as 32-bit numbers and the text they stand for."""
         known = self.cache.get(text)
         if known is None:
-            symbols = self.symbols(text)
-            try:
-                ids, plain = [self.ids[symbol] for symbol in symbols], text.replace(SPACE, " ")
-            except KeyError:
-                ids = self.ids_of(symbols)
-                plain = self.plain_text(ids)
+            ids = self.ids_of(self.symbols(text))
+            plain = self.plain_text(ids)
             if self.check and self.plain and text[0] == SPACE and len(text) > 1:  # the library puts the first mark there itself
                 self.fresh.append((text[1:], ids))
             known = array("i", ids).tobytes(), plain
@@ -166,13 +162,19 @@ class MergeVocabulary:
         fresh = self.fresh
         self.fresh = []
         if self.check and text:
-            fresh.append((text, list(memoryview(self.encode(text)[0]).cast("i"))))
+            packed, plain = self.encode(text)
+            fresh.append((text, list(memoryview(packed).cast("i"))))
+            if plain != self.library.decode(fresh[-1][1]):
+                raise ValueError(f"the decoded text of {text[:60]!r} differs from the library's")
         for (given, ids), want in zip(fresh, self.library.encode([given for given, _ in fresh], num_threads=1)):
             if ids != want:
                 raise ValueError(f"ids of {given[:60]!r} differ from the library's")
 
     def encode(self, text: str) -> tuple[bytes, str]:
-        """Ids of a text as the library gives them (32-bit numbers), and the text that its ``decode`` makes of them."""
+        """Ids of a text as the library gives them (32-bit numbers), and the text that its ``decode`` makes of them.
+
+        The text is made from the ids, chunk by chunk; only the answers for chunks met before are kept.
+        """
         if not text:
             return b"", ""
         normal = SPACE + text.replace(" ", SPACE) if self.plain else self.library.normalize(text)
