@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 
 from traitloom.llm import order
@@ -26,3 +27,21 @@ def test_a_folder_that_was_used_is_refused(spark, tmp_path):
     fresh.mkdir()
     assert order.materialise(second, str(fresh), 1, **settings).count() == 6
     assert order.read_shards(spark, str(fresh), shard_rows=4, row_tokens=4).count() == 24
+
+
+@pytest.mark.parametrize("token_bytes", [2, 4])
+def test_wide_ids_are_written_and_read_whole(spark, tmp_path, token_bytes):
+    kind = f"<u{token_bytes}"
+    ids = {i: (np.arange(3 * i) * 997 + i) % 32_000 for i in range(12)}
+    folder = str(tmp_path / "order")
+    sizes = dict(token_bytes=token_bytes, row_tokens=5, shard_rows=4)
+    order.materialise(sequences(spark, [(i, v.astype(kind).tobytes()) for i, v in ids.items()]), folder, 3, waves=2, **sizes)
+    rows = sorted(order.read_shards(spark, folder, **sizes).collect(), key=lambda r: r["slot"])
+    assert [r["slot"] for r in rows] == list(range(len(rows)))
+    for i, want in ids.items():
+        parts = sorted((r for r in rows if r["doc_id"] == i), key=lambda r: r["part"])
+        assert np.frombuffer(b"".join(r["tokens"] for r in parts), kind).tolist() == want.tolist()
+        assert sum(r["n_tokens"] for r in parts) == len(want)
+    for slot in (0, 1, 4, 7, len(rows) - 1):
+        got = [(at, i, part, bytes(tokens)) for at, i, part, tokens in order.read_from(folder, slot, 4, token_bytes, 5)]
+        assert got == [(r["slot"], r["doc_id"], r["part"], bytes(r["tokens"])) for r in rows[slot:]]
