@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traitloom.llm import decontaminate, html_text, jaccard, neighbours, order, pieces, quality, repeats, secrets, warc
+from traitloom.llm import decontaminate, html_text, jaccard, language, neighbours, order, pieces, quality, repeats, secrets, warc
 from traitloom.llm.common import table
 from traitloom.sources.scratch import scratch_folder
 
@@ -220,3 +220,10 @@ def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order.read_shards(spark, folder).select(
         "slot", "shard", "byte_offset", "doc_id", "part", "n_tokens", F.sha2("tokens", 256).alias("tokens_sha256")
     )
+
+
+@query("op11_language_id")
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language.predict(docs, language.train(docs))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
