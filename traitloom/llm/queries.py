@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traitloom.llm import decontaminate, html_text, jaccard, language, neighbours, order, pieces, quality, repeats, secrets, warc
+from traitloom.llm import decontaminate, html_text, jaccard, language, neighbours, order, pieces, quality, repeats, secrets, warc, whitening
 from traitloom.llm.common import table
 from traitloom.sources.scratch import scratch_folder
 
@@ -227,3 +227,18 @@ def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = language.predict(docs, language.train(docs))
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op13_embedding_whitening")
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c")
+    return done.select("id", "n", "deviation", "identity_error", each).select(
+        F.col("id").alias("vec_id"),
+        (F.col("at") + 1).cast("int").alias("component"),
+        "n",
+        "deviation",
+        F.col("c.whitened").alias("whitened"),
+        F.col("c.explained").alias("explained"),
+        "identity_error",
+    )
