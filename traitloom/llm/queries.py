@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traitloom.llm import decontaminate, html_text, jaccard, language, neighbours, order, pieces, quality, repeats, secrets, warc, whitening
+from traitloom.llm import decontaminate, html_text, jaccard, language, neighbours, order, pieces, prefix_trie, quality, repeats, secrets, warc, whitening
 from traitloom.llm.common import table
 from traitloom.sources.scratch import scratch_folder
 
@@ -242,3 +242,52 @@ def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c.explained").alias("explained"),
         "identity_error",
     )
+
+
+@query(
+    "op12_prefix_trie",
+    r"""
+    WITH RECURSIVE ordered AS (
+        SELECT conv_id AS c, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, ''))
+               ORDER BY turn NULLS FIRST, sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) AS l
+        FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+    ), crc_table AS (
+        SELECT v, v AS x, 0 AS step FROM range(256) t(v)
+        UNION ALL
+        SELECT v, CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END, step + 1 FROM crc_table WHERE step < 8
+    ), crc AS (
+        SELECT list(x ORDER BY v) AS entries FROM crc_table WHERE step = 8
+    ), heads AS (
+        SELECT c, xor(list_reduce([4294967295::BIGINT] || [ascii(ch)::BIGINT FOR ch IN string_split(c::VARCHAR, '')],
+               LAMBDA a, b: xor(a // 256, entries[xor(a, b) % 256 + 1])), 4294967295) % 9 AS h
+        FROM ordered, crc
+    ), rebuilt AS (
+        SELECT o.c, list_concat(coalesce(b.l[1:h], []), o.l[h + 1:]) AS l
+        FROM ordered o JOIN heads USING (c) LEFT JOIN ordered b ON b.c = o.c - o.c % 5
+    ), prefixes AS (
+        SELECT c, d, l[1:d] AS p, len(l) = d AS ended FROM rebuilt, unnest(range(0, len(l) + 1)) t(d)
+    ), nodes AS (
+        SELECT p, d, min(c) AS c, count(*) AS n,
+               sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ended), '')) AS ends
+        FROM prefixes GROUP BY p, d
+    ), named AS (
+        SELECT n.*, q.c AS parent, CASE WHEN n.d > 0 THEN (n.n - 1) * strlen(n.p[n.d].t) ELSE 0 END AS saved
+        FROM nodes n LEFT JOIN nodes q ON q.d = n.d - 1 AND q.p = n.p[1:n.d - 1]
+    ), children AS (
+        SELECT parent, d - 1 AS d, count(*) AS k FROM named WHERE d > 0 GROUP BY ALL
+    ), below AS (
+        SELECT a.p, a.d, sum(CASE WHEN k IS NULL THEN 1 ELSE 0 END) AS leaves, sum(b.saved) AS saved
+        FROM named b LEFT JOIN children x ON x.parent = b.c AND x.d = b.d
+        JOIN named a ON a.d <= b.d AND a.p = b.p[1:a.d] GROUP BY a.p, a.d
+    )
+    SELECT n.c AS conv_id, n.d AS depth, n.parent AS parent_conv_id, n.n AS n_convs, coalesce(k, 0)::BIGINT AS n_children,
+           leaves::BIGINT AS n_leaves, b.saved::BIGINT AS saved_tokens, ends AS ends_sha256
+    FROM named n JOIN below b ON b.d = n.d AND b.p = n.p LEFT JOIN children x ON x.parent = n.c AND x.d = n.d
+    """,
+)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = prefix_trie.turns(table(spark, sf_dir, "conversations"))
+    sequences, lengths = prefix_trie.rebuilt(placed)
+    names = {"conv": "conv_id", "parent_conv": "parent_conv_id", "members": "n_convs", "children": "n_children"}
+    names |= {"leaves": "n_leaves", "saved": "saved_tokens"}
+    return prefix_trie.trie(sequences, lengths).withColumnsRenamed(names)
