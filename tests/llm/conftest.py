@@ -91,6 +91,7 @@ def empty(spark, tmp_path_factory):
         "labels": "doc_id long, quality int, toxic int",
         "pages": "page_id long, url string, html string",
         "embeddings": "vec_id long, embedding array<float>",
+        "conversations": "conv_id long, turn long, role string, text string",
     }
     for name, schema in schemas.items():
         spark.createDataFrame([], schema).write.parquet(os.path.join(folder, f"{name}.parquet"))

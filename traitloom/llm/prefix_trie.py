@@ -20,8 +20,9 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -149,21 +150,26 @@ class SpillingQueue:
 
     _RECORD = np.dtype([("depth", "<i8"), ("key", "V16"), ("children", "<i8"), ("leaves", "<i8"), ("saved", "<i8")])
 
-    def __init__(self, limit: int = QUEUE):
-        self.limit, self.heap, self.runs, self.spilled = limit, [], [], 0
+    def __init__(self, limit: int = QUEUE, most_runs: int = 64):
+        self.limit, self.most_runs, self.heap, self.runs, self.spilled = limit, most_runs, [], [], 0
+        self.numbers = itertools.count()
 
     def push(self, depth: int, key: bytes, children: int, leaves: int, saved: int) -> None:
         heapq.heappush(self.heap, (-depth, key, children, leaves, saved))
         if len(self.heap) > self.limit:
-            self._spill()
-
-    def _spill(self) -> None:
-        self.heap.sort()
-        rows = np.array([(d, k.ljust(16, b"\0"), c, n, s) for d, k, c, n, s in self.heap], dtype=self._RECORD)
-        file = tempfile.TemporaryFile()
-        file.write(rows.tobytes())
+            self.heap.sort()
+            self._spill(self.heap)
+            self.heap = []
+            if len(self.runs) > self.most_runs:
+                runs = [itertools.chain([row], rest) for row, _, rest in self.runs]
+                self.runs = []
+                self._spill(heapq.merge(*runs))
+
+    def _spill(self, rows: Iterable[tuple]) -> None:
+        file, rows = tempfile.TemporaryFile(), iter(rows)
+        while part := list(itertools.islice(rows, 1024)):
+            file.write(np.array(part, dtype=self._RECORD).tobytes())
         file.seek(0)
-        self.heap = []
         self.spilled += 1
         self._next(self._read(file))
 
@@ -175,7 +181,7 @@ class SpillingQueue:
     def _next(self, run: Iterator[tuple]) -> None:
         row = next(run, None)
         if row is not None:
-            heapq.heappush(self.runs, (tuple(row), len(self.runs), run))
+            heapq.heappush(self.runs, (row, next(self.numbers), run))
 
     def take(self, depth: int, key: bytes) -> tuple[int, int, int]:
         """The sum of all messages to a node, which must be the next in order that has any."""
