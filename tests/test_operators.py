@@ -9,10 +9,13 @@ from traitloom.operators.aggregates import collapse_text, count_by, mean_by, uni
 from traitloom.operators.filters import drop_equal, drop_in, drop_in_table, keep_flagged, keep_in, keep_nonblank, split_numeric
 from traitloom.operators.joins import left_enrich, left_enrich_all
 from traitloom.operators.profile import (
+    flag_numbers,
     frequency_profile,
     frequency_profile_by_flag,
     numeric_profile,
     numeric_profile_by_flag,
+    numeric_states,
+    overall_numbers,
 )
 from traitloom.operators.reshape import (
     collapse_wider,
@@ -221,3 +224,40 @@ def test_frequency_profiles(members, rows):
     looped = union_tagged({s: looped_frequencies(members.filter(f"{s} = 1"), columns) for s in sites})
     assert by_site.columns == looped.columns
     assert rows(by_site) == rows(looped)
+
+
+def test_states_of_masks_merge_to_the_statistics_of_the_rows(spark):
+    """Overlapping memberships, more than one mask holds, far-off groups with tiny spread, missing values and NaN."""
+    import statistics
+
+    rnd = random.Random(11)
+    flags = [f"F{i}" for i in range(30)]
+    data = []
+    for i in range(400):
+        member = [rnd.choice([0, 1, None]) for _ in flags]
+        member[3], member[29], member[7] = int(i % 5 == 0), 1, 0
+        x = 1e9 + i * 1e-3 if i % 5 == 0 else rnd.choice([None, float("nan"), rnd.gauss(0, 1)])
+        data.append((x, float(i) if i == 17 else None, *member))
+    df = spark.createDataFrame(data, "x double, `a.b` double, " + ", ".join(f"{f} int" for f in flags)).repartition(6)
+    states = numeric_states(df, ["x", "a.b"], flags)
+    got = {(r["site"], r["variable"]): r for r in flag_numbers(states, flags, 9).collect()}
+    for i, flag in enumerate(flags):
+        for j, name in enumerate(["x", "a.b"]):
+            values = [row[j] for row in data if row[2 + i] == 1 and row[j] is not None and row[j] == row[j]]
+            if not values:
+                assert (flag, name) not in got
+                continue
+            r = got[flag, name]
+            assert (r["n"], r["min"], r["max"]) == (len(values), round(min(values), 9), round(max(values), 9))
+            assert abs(r["mean"] - statistics.fmean(values)) <= 1e-9 * max(1, abs(r["mean"]))
+            if len(values) == 1:
+                assert r["sd"] is None
+            else:
+                assert abs(r["sd"] - statistics.stdev(values)) <= 1e-6 * max(1, r["sd"])
+    assert got["F3", "x"]["sd"] > 0.1 and ("F7", "x") not in got
+    whole = {r["variable"]: r["n"] for r in overall_numbers(states).collect()}
+    assert whole == {r["variable"]: r["n"] for r in numeric_profile(df, ["x", "a.b"]).collect()}
+
+
+def test_profile_by_flag_of_an_empty_table(spark):
+    assert numeric_profile_by_flag(spark.createDataFrame([], "x double, S int"), ["x"], ["S"]).count() == 0

@@ -64,12 +64,19 @@ def test_profiles_read_the_table_once(raw):
     flags = ["TraitID"]
     for df in (
         numeric_profile(raw, ["TraitID"]),
-        numeric_profile_by_flag(raw.withColumn("v", F.length("More")), ["v"], flags),
         frequency_profile_by_flag(raw, ["DataName", "TraitName", "OrigUnitStr"], flags),
     ):
         assert count(df, "FileScan") == 1 and count(df, "Exchange ") == 1
 
 
+def test_numeric_profile_by_flag_folds_rows_by_mask_and_repeats_none(raw):
+    """One scan, nothing between it and the aggregation by mask that repeats rows; behind it only states are shuffled."""
+    shown = plan(numeric_profile_by_flag(raw.withColumn("v", F.length("More")), ["v"], ["TraitID", "ObsID"]), "simple")
+    assert len(re.findall("FileScan", shown)) == 1 and len(re.findall("Exchange ", shown)) == 2
+    below = shown[shown.rindex("Exchange ") :]
+    assert "partial_var_pop" in below and not re.search("Generate|Expand|Join", below)
+
+
 def with_conf(spark, settings, action):
     old = {k: spark.conf.get(k, None) for k in settings}
     for key, value in settings.items():

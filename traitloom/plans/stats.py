@@ -8,27 +8,36 @@ from pyspark.sql import DataFrame
 
 from traitloom.operators.profile import (
     flag_frequencies,
+    flag_numbers,
     frequency_table,
-    numeric_profile,
-    numeric_profile_by_flag,
+    numeric_states,
     overall_frequencies,
+    overall_numbers,
 )
 from traitloom.plans.spec import DEFAULT_SPEC, TraitSpec
 from traitloom.sources.writers import write_snapshot
 
 
-def _profiles(traits: DataFrame, frequencies: DataFrame, spec: TraitSpec, digits: int) -> dict[str, DataFrame]:
+def _profiles(states: DataFrame, frequencies: DataFrame, spec: TraitSpec, digits: int) -> dict[str, DataFrame]:
     return {
-        "overall_stats_for_quant_atts": numeric_profile(traits, spec.numeric_profile, digits),
-        "site_stats_for_quant_atts": numeric_profile_by_flag(traits, spec.numeric_profile, spec.sites, digits),
+        "overall_stats_for_quant_atts": overall_numbers(states, digits),
+        "site_stats_for_quant_atts": flag_numbers(states, spec.sites, digits),
         "overall_stats_for_qual_atts": overall_frequencies(frequencies),
         "site_stats_for_qual_atts": flag_frequencies(frequencies, spec.sites),
     }
 
 
+def _bases(traits: DataFrame, spec: TraitSpec) -> dict[str, DataFrame]:
+    """The two small tables all profiles are made of; each takes one pass over the traits."""
+    return {
+        "states": numeric_states(traits, spec.numeric_profile, spec.sites),
+        "frequencies": frequency_table(traits, spec.categorical_profile, spec.sites),
+    }
+
+
 def profiles(traits: DataFrame, spec: TraitSpec = DEFAULT_SPEC, digits: int = 3) -> dict[str, DataFrame]:
     """The four profile tables by name."""
-    return _profiles(traits, frequency_table(traits, spec.categorical_profile, spec.sites), spec, digits)
+    return _profiles(**_bases(traits, spec), spec=spec, digits=digits)
 
 
 def write_profiles(
@@ -36,13 +45,14 @@ def write_profiles(
 ) -> dict[str, str]:
     """Write the four tables as CSV snapshots of the day, a missing value as ``NA``.
 
-    Two of them come from the frequency table. It is written next to them and read back, so the large table is not
-    gone through twice, whatever happens to the executors in between.
+    They come from two small tables, which are written next to them and read back: the large table is gone through twice, not
+    four times, whatever happens to the executors in between.
     """
-    frequencies = frequency_table(traits, spec.categorical_profile, spec.sites)
-    path = write_snapshot(frequencies, f"{folder}/frequencies", run_date)
-    day = traits.sparkSession.read.schema(frequencies.schema).parquet(f"{path}/run_date={run_date}")
+    day = {}
+    for name, table in _bases(traits, spec).items():
+        path = write_snapshot(table, f"{folder}/{name}", run_date)
+        day[name] = traits.sparkSession.read.schema(table.schema).parquet(f"{path}/run_date={run_date}")
     return {
         name: write_snapshot(table, f"{folder}/{name}", run_date, "csv", na_text="NA")
-        for name, table in _profiles(traits, day, spec, digits).items()
+        for name, table in _profiles(**day, spec=spec, digits=digits).items()
     }
