@@ -8,6 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from traitloom.catalog.registry import query
 from traitloom.catalog.views import CURATED_SQL, RECORDS_SQL, RUN_DATE, curated, records, table
 from traitloom.plans.spec import CURATED_COLUMNS
+from traitloom.sources.checked import ENCODING, LONG, NOT_WHOLE, SHORT, checked_lines, land_checked
 from traitloom.sources.readers import read_attributes, read_csv, read_csv_inferred, read_eav_tsv
 from traitloom.sources.scratch import scratch_folder
 from traitloom.sources.writers import write_csv_blank, write_csv_na, write_eav_tsv, write_snapshot
@@ -23,6 +24,56 @@ def src_tsv_latin1(spark, sf_dir):
     return read_eav_tsv(spark, write_eav_tsv(raw, scratch_folder(spark, "records")), raw.schema)
 
 
+# What is done to some of the records before they are written: the line that comes of it, and why it cannot be read.
+_SPOILT = {
+    "whole with a point": ("TraitID = 59 AND ObsID = '1-URGENT'", None),
+    "no number": ("TraitID = 26 AND ObsID = '2-HIGH'", NOT_WHOLE),
+    "short": ("TraitID = 343 AND ObsID = '3-MEDIUM'", SHORT),
+    "long": ("TraitID = 915 AND ObsID = '5-LOW'", LONG),
+}
+_FIELDS = ("AccSpeciesName", "TraitName", "DataName", "OrigValueStr", "OrigUnitStr")
+_ID = "concat(CAST(TraitID AS STRING), CASE spoilt WHEN 'whole with a point' THEN '.0' WHEN 'no number' THEN 'x' ELSE '' END)"
+_TAIL = "CASE spoilt WHEN 'short' THEN '' WHEN 'long' THEN concat('\t', ObsID, '\tmore') ELSE concat('\t', ObsID) END"
+_LINE = f"concat({_ID}, " + ", ".join(f"'\t', coalesce({f}, 'NA')" for f in _FIELDS) + f", {_TAIL})"
+_CHOICE = "CASE " + " ".join(f"WHEN {when} THEN '{name}'" for name, (when, _) in _SPOILT.items()) + " ELSE '' END"
+_REASON = "CASE spoilt " + " ".join(f"WHEN '{name}' THEN '{why}'" for name, (_, why) in _SPOILT.items() if why) + " END"
+
+
+def _lines_of(spark, sf_dir):
+    """A folder of raw text, some of its lines spoilt; every part starts with the header."""
+    lines = records(spark, sf_dir).selectExpr("*", f"{_CHOICE} AS spoilt")
+    header = "\t".join(["TraitID", *_FIELDS, "ObsID"])
+    path = scratch_folder(spark, "lines")
+    whole_lines = {"sep": "\x01", "quote": "", "header": True, "encoding": ENCODING, "emptyValue": ""}
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    lines.select(F.expr(_LINE).alias(header)).write.options(**whole_lines, **kept).csv(path)
+    return path
+
+
+@query(
+    "src_tsv_rejects",
+    f"""WITH {RECORDS_SQL}, tagged AS (SELECT *, {_CHOICE} AS spoilt FROM records),
+    lines AS (SELECT *, {_LINE} AS line, {_REASON} AS reason FROM tagged)
+    SELECT reason, CASE WHEN reason IS NOT NULL THEN line END AS line, CASE WHEN reason IS NULL THEN "TraitID" END AS trait_id,
+    CASE WHEN reason IS NULL THEN "DataName" END AS data_name, CASE WHEN reason IS NULL THEN nullif("OrigValueStr", 'NA') END AS value,
+    CASE WHEN reason IS NULL THEN "ObsID" END AS obs_id, CAST(count(*) AS BIGINT) AS n FROM lines GROUP BY ALL""",
+)
+def src_tsv_rejects(spark, sf_dir):
+    landed = land_checked(checked_lines(spark, _lines_of(spark, sf_dir)), scratch_folder(spark, "landed"))
+    nothing = F.lit(None).cast("string")
+    read = landed.records.select(
+        nothing.alias("reason"),
+        nothing.alias("line"),
+        F.col("TraitID").alias("trait_id"),
+        F.col("DataName").alias("data_name"),
+        F.col("OrigValueStr").alias("value"),
+        F.col("ObsID").alias("obs_id"),
+    )
+    unread = landed.rejects.select("reason", "line")
+    both = read.unionByName(unread, allowMissingColumns=True)
+    return both.groupBy(*both.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
 _ORDER_COLUMNS = """o_orderkey, o_custkey, {status} AS status, o_totalprice, {priority} AS priority"""
 
 

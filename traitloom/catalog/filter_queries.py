@@ -16,9 +16,9 @@ from traitloom.operators.filters import (
     keep_flagged,
     keep_in,
     keep_nonblank,
-    split_numeric,
 )
 from traitloom.operators.joins import left_enrich, left_enrich_all
+from traitloom.operators.router import tag_numeric
 from traitloom.operators.setops import union_by_name, union_tagged
 
 
@@ -80,8 +80,7 @@ def flt_flag(spark, sf_dir):
     FROM records GROUP BY 1, 2, 3""",
 )
 def flt_numeric_split(spark, sf_dir):
-    text, number = split_numeric(records(spark, sf_dir).select("DataName", "OrigValueStr"), "OrigValueStr")
-    both = union_tagged({"text": text, "number": number}, "branch")
+    both = tag_numeric(records(spark, sf_dir).select("DataName", "OrigValueStr"), "OrigValueStr")
     return both.groupBy("branch", "DataName", "OrigValueStr").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -40,6 +40,9 @@ def keep_flagged(df: DataFrame, column: str) -> DataFrame:
 
 
 def split_numeric(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
-    """``(text rows, number rows)``. Every row lands in exactly one of the two."""
+    """``(text rows, number rows)``. Every row lands in exactly one of the two.
+
+    Two filters over the same rows: for both branches from one scan see ``router.tag_numeric``.
+    """
     number = is_number(ref(column))
     return df.filter(~number), df.filter(number)

@@ -16,7 +16,8 @@ from traitloom.plans.spec import CURATED_COLUMNS, DEFAULT_SPEC, TraitSpec
 from traitloom.plans.stats import write_profiles
 from traitloom.plans.text import unmapped_text, wide_text
 from traitloom.session import CLUSTER_SETTINGS, SETTINGS
-from traitloom.sources.readers import read_attributes, read_eav_tsv
+from traitloom.sources.checked import Landed, checked_lines, land_checked
+from traitloom.sources.readers import read_attributes
 from traitloom.sources.writers import write_snapshot
 
 
@@ -26,6 +27,12 @@ def land_records(raw: DataFrame, path: str, spec: TraitSpec = DEFAULT_SPEC) -> D
     return raw.sparkSession.read.schema(raw.schema).parquet(path)
 
 
+def land_raw(spark: SparkSession, raw_path: str, path: str, schema: StructType | None = None, spec: TraitSpec = DEFAULT_SPEC) -> Landed:
+    """The text file read once, with an account of every line: wanted traits, lines that could not be read, and counts."""
+    checked = checked_lines(spark, raw_path, schema)
+    return land_checked(checked, path, F.col("TraitID").isin(list(spec.trait_ids)))
+
+
 def run(
     spark: SparkSession,
     raw_path: str,
@@ -35,10 +42,16 @@ def run(
     raw_schema: StructType | None = None,
     spec: TraitSpec = DEFAULT_SPEC,
 ) -> dict[str, str]:
-    """Raw records and curated table in, written tables out; returns their folders by name."""
+    """Raw records and curated table in, written tables out; returns their folders by name.
+
+    ``rejects`` holds the raw lines that could not be read, ``accounts`` how many lines went where; neither stops the run.
+    """
     day = str(run_date)
-    records = land_records(read_eav_tsv(spark, raw_path, raw_schema), f"{out}/records", spec)
+    landed = land_raw(spark, raw_path, f"{out}/records", raw_schema, spec)
+    records = landed.records
     tables = {
+        "rejects": landed.rejects,
+        "accounts": accounts(spark, landed),
         "wide_text": wide_text(records, spec),
         "wide_numbers": wide_numbers(records, spec),
         "unmapped_text": unmapped_text(records, spec),
@@ -56,6 +69,12 @@ def run(
     return written
 
 
+def accounts(spark: SparkSession, landed: Landed) -> DataFrame:
+    """``entry, lines``: lines read, headers, records, rejected lines, and the reasons for which lines were set aside."""
+    rows = [("lines", landed.lines), ("headers", landed.headers), ("records", landed.kept), ("rejected", landed.rejected)]
+    return spark.createDataFrame(rows + sorted(landed.reasons.items()), "entry string, lines long")
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("raw", help="raw records, tab-separated")
