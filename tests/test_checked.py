@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from traitloom.operators.router import tag_numeric, write_branches
-from traitloom.sources.checked import BLANK, LONG, NOT_WHOLE, SHORT, checked_lines, land_checked, read_eav_tsv_checked
+from traitloom.sources.checked import LONG, NOT_WHOLE, SHORT, checked_lines, land_checked, read_eav_tsv_checked
 from traitloom.sources.readers import read_eav_tsv
 
 HEADER = "TraitID\tAccSpeciesName\tTraitName\tDataName\tOrigValueStr\tOrigUnitStr\tObsID"
@@ -22,7 +22,7 @@ BAD = {
     "0x3b\tAbies alba\tt\tspan\t5\tyr\t1": NOT_WHOLE,
     "99999999999\tAbies alba\tt\tspan\t5\tyr\t1": NOT_WHOLE,
     "Trait\tSpecies\ta\tb\tc\td\te": NOT_WHOLE,
-    "  ": BLANK,
+    HEADER: NOT_WHOLE,
 }
 
 
@@ -33,14 +33,14 @@ def put(path, lines, end="\n"):
 
 @pytest.mark.parametrize("end", ["\n", "\r\n"])
 def test_every_line_goes_to_one_place(spark, tmp_path, end):
-    path = put(tmp_path / "raw.txt", [HEADER, *GOOD, *BAD, HEADER], end)
+    path = put(tmp_path / "raw.txt", [HEADER, *GOOD, *BAD, '', '  '], end)
     landed = land_checked(checked_lines(spark, path), str(tmp_path / "landed"))
     rows = sorted(tuple(r) for r in landed.records.select("ObsID", "TraitID", "OrigValueStr", "OrigUnitStr").collect())
     assert rows == [("1", 59, "nectar ± hidden", ""), ("2", 59, "5", None), ("3", None, None, "yr"), ("4", 26, "x\\y", "")]
     rejects = landed.rejects.collect()
     assert {r["line"]: r["reason"] for r in rejects} == BAD and len(rejects) == len(BAD)
     assert all(r["file"].endswith("raw.txt") for r in rejects)
-    assert (landed.headers, landed.kept, landed.rejected, landed.lines) == (2, len(GOOD), len(BAD), 2 + len(GOOD) + len(BAD))
+    assert (landed.kept, landed.rejected, landed.lines) == (len(GOOD), len(BAD), len(GOOD) + len(BAD))
     assert landed.adds_up and sum(landed.reasons.values()) == len(BAD)
 
 
@@ -59,7 +59,7 @@ def test_a_folder_has_a_header_in_every_file(spark, tmp_path):
         put(folder / f"part-{i}.txt", [HEADER, f"59\ta\tb\tc\td\te\t{i}"])
     put(folder / "part-9.txt", [])
     landed = land_checked(checked_lines(spark, str(folder)), str(tmp_path / "landed"))
-    assert (landed.headers, landed.kept, landed.rejected, landed.adds_up) == (5, 5, 0, True)
+    assert (landed.kept, landed.rejected, landed.adds_up) == (5, 0, True)
 
 
 def test_unwanted_records_are_counted_and_not_kept(spark, tmp_path):
@@ -67,19 +67,16 @@ def test_unwanted_records_are_counted_and_not_kept(spark, tmp_path):
     landed = land_checked(checked_lines(spark, path), str(tmp_path / "landed"), F.col("TraitID") == 59)
     assert sorted(r["ObsID"] for r in landed.records.collect()) == ["1", "2"]
     assert landed.reasons["not wanted"] == 2 and landed.kept == 4 and landed.adds_up
-    everything = spark.read.parquet(str(tmp_path / "landed")).filter("branch = 'unwanted'")
-    assert everything.filter("DataName is not null").count() == 0
+    assert spark.read.parquet(str(tmp_path / "landed")).count() == 2 + len(BAD)
 
 
 def test_wrong_headers_and_types_are_errors(spark, tmp_path):
     path = put(tmp_path / "raw.txt", [HEADER, *GOOD])
     schema = checked_lines(spark, path).drop("file", "line", "reason").schema
-    with pytest.raises(ValueError, match="expected"):
-        checked_lines(spark, put(tmp_path / "other.txt", [HEADER.replace("ObsID", "Obs")]), schema)
     with pytest.raises(ValueError, match="AccSpeciesName"):
         checked_lines(spark, put(tmp_path / "few.txt", ["TraitID\tSpecies"]))
-    with pytest.raises(ValueError, match="no header"):
-        checked_lines(spark, put(tmp_path / "empty.txt", []))
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        checked_lines(spark, put(tmp_path / "other.txt", [HEADER.replace("ObsID", "Obs"), GOOD[0]]), schema).collect()
     doubles = type(schema)([f if f.name != "ObsID" else type(f)("ObsID", spark.createDataFrame([], "d double").schema[0].dataType) for f in schema])
     with pytest.raises(ValueError, match="text or integers"):
         checked_lines(spark, path, doubles)

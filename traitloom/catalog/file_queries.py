@@ -8,8 +8,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from traitloom.catalog.registry import query
 from traitloom.catalog.views import CURATED_SQL, RECORDS_SQL, RUN_DATE, curated, records, table
 from traitloom.plans.spec import CURATED_COLUMNS
-from traitloom.sources.checked import ENCODING, LONG, NOT_WHOLE, SHORT, checked_lines, land_checked
-from traitloom.sources.readers import read_attributes, read_csv, read_csv_inferred, read_eav_tsv
+from traitloom.sources.checked import LONG, NOT_WHOLE, SHORT, checked_lines, land_checked
+from traitloom.sources.readers import EAV_FORMAT, read_attributes, read_csv, read_csv_inferred, read_eav_tsv
 from traitloom.sources.scratch import scratch_folder
 from traitloom.sources.writers import write_csv_blank, write_csv_na, write_eav_tsv, write_snapshot
 
@@ -44,7 +44,7 @@ def _lines_of(spark, sf_dir):
     lines = records(spark, sf_dir).selectExpr("*", f"{_CHOICE} AS spoilt")
     header = "\t".join(["TraitID", *_FIELDS, "ObsID"])
     path = scratch_folder(spark, "lines")
-    whole_lines = {"sep": "\x01", "quote": "", "header": True, "encoding": ENCODING, "emptyValue": ""}
+    whole_lines = {"sep": "\x01", "quote": "", "header": True, "encoding": EAV_FORMAT["encoding"], "emptyValue": ""}
     kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     lines.select(F.expr(_LINE).alias(header)).write.options(**whole_lines, **kept).csv(path)
     return path

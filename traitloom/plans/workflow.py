@@ -70,8 +70,8 @@ def run(
 
 
 def accounts(spark: SparkSession, landed: Landed) -> DataFrame:
-    """``entry, lines``: lines read, headers, records, rejected lines, and the reasons for which lines were set aside."""
-    rows = [("lines", landed.lines), ("headers", landed.headers), ("records", landed.kept), ("rejected", landed.rejected)]
+    """``entry, lines``: lines read, records, rejected lines, and the reasons for which lines were set aside."""
+    rows = [("lines", landed.lines), ("records", landed.kept), ("rejected", landed.rejected)]
     return spark.createDataFrame(rows + sorted(landed.reasons.items()), "entry string, lines long")
 
 

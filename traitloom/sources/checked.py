@@ -1,8 +1,8 @@
 """Raw records with an account of every line: what could not be read is kept, with the reason, and the numbers add up.
 
-The plain reader fills short lines with blanks, cuts long ones and makes an unreadable id a missing one. Here each line of the
-files ends up in exactly one of three places: a record, a reject or a header. Lines are split among tasks by Spark's text
-source, decoded and cut in one projection; nothing is parsed twice.
+The plain reader fills short lines with blanks, cuts long ones and makes an unreadable id a missing one. Here each line ends
+up in exactly one of two places: a record or a reject. Spark's own parser reads the lines and hands out the text of those that
+do not fit the schema; only these are looked at again, in the same pass.
 """
 
 from __future__ import annotations
@@ -15,82 +15,61 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 
 from traitloom.operators.columns import ref, require
 from traitloom.operators.router import tag_rows, write_branches
-from traitloom.sources.readers import EAV_COLUMNS
-
-ENCODING = "ISO-8859-1"
+from traitloom.sources.readers import EAV_COLUMNS, EAV_FORMAT
 
 #: Reasons, in the order in which they are looked for.
-BLANK, SHORT, LONG, NOT_WHOLE = "blank line", "too few fields", "too many fields", "id is not a whole number"
-HEADER = "header"
-
-#: Characters around a field that do not belong to it, as in Spark's own reader.
-_AROUND = "".join(map(chr, range(0x21)))
+SHORT, LONG, NOT_WHOLE = "too few fields", "too many fields", "id is not a whole number"
+_UNREAD = "__unread"
 
 # A whole number, also one written with a decimal point and zeros, as spreadsheets do.
 _WHOLE = r"^[+-]?\d+(\.0*)?$"
-
-
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """``file, line``: every line as it is in its file, without its line end."""
-    raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value"))
-    # The text source hands on the bytes of a line unchanged.
-    return raw.select("file", F.decode(F.col("value").cast("binary"), ENCODING).alias("line"))
-
-
-def header_of(spark: SparkSession, path: str) -> str:
-    """The first line of the first file that has one."""
-    first = _lines(spark, path).filter(F.length("line") > 0).first()
-    if first is None:
-        raise ValueError(f"{path} holds no header line")
-    return first["line"]
-
-
-def _integer(text: Column, kind) -> Column:
-    whole = F.regexp_replace(text, r"\.0*$", "")
-    return F.when(text.rlike(_WHOLE), whole.try_cast(kind))
+# Characters around a field that do not belong to it, as in Spark's parser.
+_AROUND = "".join(map(chr, range(0x21)))
 
 
 def checked_lines(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """``file, line, reason`` and the columns of the records; ``reason`` is null for a record, ``header`` for a header line.
+    """``file, line, reason`` and the columns of the records; ``line`` and ``reason`` are null for a record.
 
-    The header names the columns. With a schema, the header of the data must give the names of the schema; integer
-    columns of the schema are checked, all others are text. Without one the trait id is the only integer. Blank ids are
-    missing, not unreadable: the raw table holds rows without a trait. A line that repeats the header is a header, wherever it
-    stands; a first line with other names is a reject, since it cannot be told from data.
+    Integer columns of the schema are checked, all others are text. Without a schema the header names the columns and the trait
+    id is the only integer. Blank ids are missing, not unreadable: the raw table holds rows without a trait; ``59.0`` is 59.
+    The first line of every file is its header and must have the names of the schema. Lines of nothing but blanks are no lines.
 
     As in the plain reader, blanks around a field do not count, blank text is ``""`` and the text ``NA`` is missing.
     """
-    header = header_of(spark, path)
-    names = [n.strip(" ") for n in header.split("\t")]
+    reader = spark.read.options(**EAV_FORMAT)
     if schema is None:
+        names = reader.csv(path).columns
         schema = StructType([StructField(n, IntegerType() if n == "TraitID" else StringType()) for n in names])
-    if names != [f.name for f in schema]:
-        raise ValueError(f"the header names {names}, expected {[f.name for f in schema]}")
     if any(not isinstance(f.dataType, (IntegerType, LongType, StringType)) for f in schema):
         raise ValueError("columns of raw records are text or integers")
-
-    fields = _lines(spark, path).withColumn("__fields", F.split("line", "\t", -1))
-    texts, numbers, bad = {}, {}, F.lit(False)
+    # Without pruning: whether a line fits must not depend on the columns that are asked for.
+    whole = reader.options(columnNameOfCorruptRecord=_UNREAD, columnPruning=False, enforceSchema=False)
+    lines = whole.schema(StructType([*schema, StructField(_UNREAD, StringType())])).csv(path)
+    require(lines, EAV_COLUMNS)
+
+    split = F.transform(F.split(_UNREAD, "\t", -1), lambda field: F.trim(field, F.lit(_AROUND)))
+    lines = lines.select(F.col("_metadata.file_path").alias("__file"), "*", split.alias("__fields"))
+    columns, bad = [], F.lit(False)
     for i, f in enumerate(schema):
-        text = F.trim(F.get(F.col("__fields"), F.lit(i)), F.lit(_AROUND))
+        again = F.get(F.col("__fields"), F.lit(i))
         if isinstance(f.dataType, StringType):
-            texts[f.name] = F.nullif(text, F.lit("NA"))
+            # The parser makes a blank field a missing one.
+            value = F.coalesce(F.when(F.col(_UNREAD).isNull(), ref(f.name)).otherwise(again), F.lit(""))
+            columns.append(F.nullif(value, F.lit("NA")).alias(f.name))
         else:
-            text = F.nullif(F.nullif(text, F.lit("")), F.lit("NA"))
-            numbers[f.name] = _integer(text, f.dataType)
-            bad = bad | (text.isNotNull() & numbers[f.name].isNull())
-    reasons = {
-        HEADER: F.col("line") == header,
-        BLANK: F.trim(F.col("line"), F.lit(_AROUND)) == "",
-        SHORT: F.size("__fields") < len(names),
-        LONG: F.size("__fields") > len(names),
-        NOT_WHOLE: bad,
-    }
-    tagged = tag_rows(fields, reasons, "", "reason")
-    columns = [(texts.get(n) if n in texts else numbers[n]).alias(n) for n in names]
-    found = tagged.select("file", "line", F.nullif("reason", F.lit("")).alias("reason"), *columns)
-    require(found, EAV_COLUMNS)
-    return found
+            number = F.when(again.rlike(_WHOLE), F.regexp_replace(again, r"\.0*$", "").try_cast(f.dataType))
+            number = F.coalesce(ref(f.name), number)
+            columns.append(number.alias(f.name))
+            bad = bad | (number.isNull() & ~again.isin("", "NA"))
+    size = F.size("__fields")
+    reason = F.when(size < len(schema), SHORT).when(size > len(schema), LONG).when(bad, NOT_WHOLE)
+    reason = F.when(F.col(_UNREAD).isNotNull(), reason)
+    found = lines.select("__file", _UNREAD, reason.alias("__reason"), *columns)
+    names = [ref(f.name) for f in schema]
+    rejected = F.col("__reason").isNotNull()
+    return found.select(
+        F.when(rejected, F.col("__file")).alias("file"), F.when(rejected, F.col(_UNREAD)).alias("line"), F.col("__reason").alias("reason"), *names
+    )
 
 
 def records_of(checked: DataFrame) -> DataFrame:
@@ -98,8 +77,7 @@ def records_of(checked: DataFrame) -> DataFrame:
 
 
 def rejects_of(checked: DataFrame) -> DataFrame:
-    """``file, line, reason`` of the lines that are neither a record nor a header."""
-    return checked.filter(F.col("reason").isNotNull() & (F.col("reason") != HEADER)).select("file", "line", "reason")
+    return checked.filter("reason is not null").select("file", "line", "reason")
 
 
 def read_eav_tsv_checked(spark: SparkSession, path: str, schema: StructType | None = None) -> tuple[DataFrame, DataFrame]:
@@ -110,50 +88,36 @@ def read_eav_tsv_checked(spark: SparkSession, path: str, schema: StructType | No
 
 @dataclass(frozen=True)
 class Landed:
-    """What a landing wrote, and how many lines went where. ``lines`` was counted at the scan, the others in what was written."""
+    """What a landing wrote, and how many lines went where. ``lines`` and what was not wanted are counted at the scan, the
+    others in what was written."""
 
     records: DataFrame
     rejects: DataFrame
     lines: int
-    headers: int
     kept: int
     rejected: int
     reasons: dict[str, int]
 
     @property
     def adds_up(self) -> bool:
-        """Lines in = headers + kept + rejected. A stage that was run again counts its lines again, so this can fail then."""
-        return self.lines == self.headers + self.kept + self.rejected
+        """Lines in = kept + rejected. A task that was run again may count its lines again, so this can fail then."""
+        return self.lines == self.kept + self.rejected
 
 
 def land_checked(checked: DataFrame, path: str, keep: Column | None = None) -> Landed:
-    """Records, rejects and headers written from one scan of the text, a folder each, and counted.
+    """Records and rejects written from one scan of the text, a folder each, and counted.
 
-    ``keep`` limits the records that are landed; the others are read, counted as ``not wanted`` and written to no folder but
-    their own, without a column.
+    ``keep`` limits the records that are landed; the others count as kept lines that were ``not wanted``, and are not written.
     """
-    spark = checked.sparkSession
     seen = Observation()
-    branches = {"header": F.col("reason") == HEADER, "reject": F.col("reason").isNotNull()}
-    if keep is not None:
-        branches["unwanted"] = ~F.coalesce(keep, F.lit(False))
-    tagged = tag_rows(checked.observe(seen, F.count(F.lit(1)).alias("lines")), branches, "record")
-    names = [f.name for f in checked.schema if f.name not in ("file", "line", "reason")]
-    # The text of a record is in its columns, that of a reject in its line.
-    kept = {n: F.when(F.col("branch") == "record", ref(n)) for n in names}
-    kept |= {n: F.when(F.col("branch") == "reject", F.col(n)) for n in ("file", "line", "reason")}
-    parts = write_branches(tagged.withColumns(kept), path, ("record", "reject"))
-    counts = spark.read.schema("reason string, branch string").parquet(path).groupBy("branch", "reason").count().collect()
-    total = {b: sum(r["count"] for r in counts if r["branch"] == b) for b in ("record", "reject", "header", "unwanted")}
-    reasons = {r["reason"]: r["count"] for r in counts if r["branch"] == "reject"}
+    wanted = F.lit(True) if keep is None else F.coalesce(keep, F.lit(False))
+    skipped = F.col("reason").isNull() & ~wanted
+    watched = checked.observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if(skipped).alias("skipped"))
+    tagged = tag_rows(watched.filter(~skipped), {"reject": F.col("reason").isNotNull()}, "record")
+    parts = write_branches(tagged, path, ("record", "reject"))
+    records, rejects = records_of(parts["record"]), rejects_of(parts["reject"])
+    reasons = {r["reason"]: r["count"] for r in rejects.groupBy("reason").count().collect()}
+    rejected = sum(reasons.values())
     if keep is not None:
-        reasons["not wanted"] = total["unwanted"]
-    return Landed(
-        parts["record"].select(*[ref(n) for n in names]),
-        parts["reject"].select("file", "line", "reason"),
-        seen.get["lines"],
-        total["header"],
-        total["record"] + total["unwanted"],
-        total["reject"],
-        reasons,
-    )
+        reasons["not wanted"] = seen.get["skipped"]
+    return Landed(records, rejects, seen.get["lines"], records.count() + seen.get["skipped"], rejected, reasons)

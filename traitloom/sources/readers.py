@@ -13,6 +13,15 @@ from traitloom.operators.columns import ref, require
 
 EAV_COLUMNS = ("TraitID", "AccSpeciesName", "TraitName", "DataName", "OrigValueStr", "OrigUnitStr")
 
+EAV_FORMAT = {
+    "header": True,
+    "sep": "\t",
+    "encoding": "ISO-8859-1",
+    "quote": "",
+    "ignoreLeadingWhiteSpace": True,
+    "ignoreTrailingWhiteSpace": True,
+}
+
 # Quotes inside a quoted field are doubled; blanks around a field belong to the value. A quoted text may hold line breaks, so
 # a file is not split: keep files small, as our writers do. A header that differs from the schema is an error.
 CSV_FORMAT = {"header": True, "escape": '"', "multiLine": True, "enforceSchema": False}
@@ -45,14 +54,7 @@ def read_eav_tsv(spark: SparkSession, path: str, schema: StructType | None = Non
     A file whose header differs from the schema is an error. Only where the names are read from a header with a column
     that has no name, which Spark then names itself, are the files not compared.
     """
-    reader = spark.read.options(
-        header=True,
-        sep="\t",
-        encoding="ISO-8859-1",
-        quote="",
-        ignoreLeadingWhiteSpace=True,
-        ignoreTrailingWhiteSpace=True,
-    )
+    reader = spark.read.options(**EAV_FORMAT)
     compare = True
     if schema is None:
         names = reader.csv(path).columns
