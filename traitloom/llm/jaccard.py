@@ -17,12 +17,17 @@ that are near there.
    distances to the pivot differ by more than the radius. Larger ones get ``PIVOTS`` new pivots; a member goes to the Voronoi
    region of the nearest one and to every other one that is at most two radii farther, and those regions start at 3.
    Where the windows are so wide that splitting gains nothing, the region is joined in square tiles instead.
+
+A task that joins members holds their exact sets. It contracts as it goes: members connected by links found earlier, there or
+by the star, are not compared, so it returns fewer links than it has members, and a large group of near copies makes no list
+of its pairs anywhere.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -37,6 +42,10 @@ RADIUS = 1 - NUMERATOR / DENOMINATOR
 SLACK = 1e-9
 LEAF = 256
 TILE = 512
+#: Bytes of the sets of a leaf or a tile, about.
+TILE_BYTES = 64 << 20
+#: Exact comparisons of a member between two looks at what it is connected to by then.
+STEP = 32
 PIVOTS = 8
 DEPTH = 6
 #: Ids that are sent to all tasks to select rows, at most; beyond it the selection is a shuffled join.
@@ -266,71 +275,132 @@ def _star(regions: DataFrame) -> DataFrame:
 
 
 def _open_members(star: DataFrame, links: DataFrame) -> DataFrame:
-    """Ring members, and core members within reach of the ring; regions without a ring are done."""
+    """Ring members, and core members within reach of the ring; regions without a ring are done.
+
+    ``label`` names what a member is known to be connected to: the pivot for the core, itself for the ring.
+    """
     known = links.select(F.col("a").alias("pivot"), F.col("b").alias("rid"), F.lit(True).alias("core"))
     marked = star.filter("rid <> pivot").join(known, ["pivot", "rid"], "left").withColumn("core", F.coalesce("core", F.lit(False)))
     ring = marked.filter("not core").groupBy("region", "cls").agg(F.min("d").alias("ring_d"))
     kept = marked.join(ring, ["region", "cls"]).filter(~F.col("core") | (F.col("d") >= F.col("ring_d") - RADIUS - SLACK))
-    return kept.select("region", "cls", "rid", "d", "core")
+    return kept.select("region", "cls", "rid", "d", F.when(F.col("core"), F.col("pivot")).otherwise(F.col("rid")).alias("label"))
 
 
 PAIRS = "a long, b long"
 
 
-def _join_members(rid, n, core, d, counts, other=None) -> pa.Table:
-    """Near pairs among the members, or between them and ``other`` members, that are not both core."""
-    square = other is None
-    rid2, n2, core2, d2, counts2 = (rid, n, core, d, counts) if square else other
-    left, right = [], []
-    for i in range(len(rid)):
-        mask = (np.abs(d2 - d[i]) <= RADIUS + SLACK) & ~(core2 & core[i])
-        mask &= DENOMINATOR * np.minimum(n2, n[i]) >= NUMERATOR * np.maximum(n2, n[i])
+def _shared(one: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements of ``one`` each of the sets has; all are sorted and without repeats."""
+    if not len(one):
+        return np.zeros(len(sets), dtype=np.int64)
+    ends = np.cumsum([len(s) for s in sets])
+    every = np.concatenate(sets)
+    at = np.minimum(np.searchsorted(one, every), len(one) - 1)
+    hits = np.concatenate([[0], np.cumsum(one[at] == every)])
+    return hits[ends] - hits[np.concatenate([[0], ends[:-1]])]
+
+
+class Members:
+    """The members of a region, or of a part of it, as arrays."""
+
+    def __init__(self, table: pa.Table, cls: int):
+        bits = class_bits(cls)
+        sketches = [folded(data, bits) for data in table["sketch"].to_pylist()]
+        self.rid, self.n, self.label, self.d = (table[c].to_numpy() for c in ("rid", "n", "label", "d"))
+        self.counts = np.stack(sketches) if sketches else np.zeros((0, 1 << bits), np.uint16)
+        self.sets = [np.frombuffer(x.as_buffer(), np.uint64) for chunk in table["elements"].chunks for x in chunk]
+
+
+def _connect(left: Members, right: Members | None = None, tally: list[int] | None = None) -> pa.Table:
+    """Links ``a, b`` that connect members with near sets, among ``left``, or between ``left`` and ``right``.
+
+    Members that are connected already, by their labels or by links found here, are not compared: there are fewer links than
+    members. Who is compared passes the triangle window, the sizes and the sketch first; what is linked is near by its exact
+    set. ``tally`` collects the number of exact comparisons.
+    """
+    square = right is None
+    right = left if square else right
+    first, second = left.label.copy(), right.label.copy()
+    if square:
+        second = first
+    links, compared = [], 0
+    for i in range(len(left.rid)):
+        mask = (second != first[i]) & (np.abs(right.d - left.d[i]) <= RADIUS + SLACK)
+        mask &= DENOMINATOR * np.minimum(right.n, left.n[i]) >= NUMERATOR * np.maximum(right.n, left.n[i])
         if square:
             mask[: i + 1] = False
-        else:
-            mask &= rid2 != rid[i]
         js = np.flatnonzero(mask)
-        if len(js):
-            inner = np.minimum(counts2[js], counts[i]).sum(axis=1, dtype=np.int64)
-            js = js[near(inner, n2[js], n[i])]
-            left.append(np.minimum(rid2[js], rid[i]))
-            right.append(np.maximum(rid2[js], rid[i]))
-    empty = [np.zeros(0, dtype=np.int64)]
-    return pa.table({"a": pa.array(np.concatenate(left or empty)), "b": pa.array(np.concatenate(right or empty))})
-
-
-def _arrays(table: pa.Table, cls: int):
-    bits = class_bits(cls)
-    counts = np.stack([folded(data, bits) for data in table["sketch"].to_pylist()]) if table.num_rows else np.zeros((0, 1 << bits), np.uint16)
-    core = table["core"].to_numpy(zero_copy_only=False).astype(bool)
-    return table["rid"].to_numpy(), table["n"].to_numpy(), core, table["d"].to_numpy(), counts
+        if not len(js):
+            continue
+        js = js[near(np.minimum(right.counts[js], left.counts[i]).sum(axis=1, dtype=np.int64), right.n[js], left.n[i])]
+        while len(js):
+            some, js = js[:STEP], js[STEP:]
+            compared += len(some)
+            inner = _shared(left.sets[i], [right.sets[j] for j in some])
+            for j in some[near(inner, right.n[some], left.n[i])]:
+                if second[j] != first[i]:
+                    links.append((min(left.rid[i], right.rid[j]), max(left.rid[i], right.rid[j])))
+                    old, new = second[j], first[i]
+                    first[first == old] = new
+                    second[second == old] = new
+            js = js[second[js] != first[i]]
+    if tally is not None:
+        tally.append(compared)
+    found = np.array(links, dtype=np.int64).reshape(-1, 2)
+    return pa.table({"a": pa.array(found[:, 0]), "b": pa.array(found[:, 1])})
+
+
+def _held(most: int):
+    """Members of a size class whose sets are held by one task: at most ``most``, fewer where sets are large."""
+    by_size = F.floor(F.lit(TILE_BYTES) / F.pow(F.lit(2.0), F.col("cls") + 4))
+    return F.greatest(F.lit(2), F.least(F.lit(most), by_size)).cast("int")
 
 
 def _leaves(members: DataFrame) -> DataFrame:
     def run(key, table):
-        return _join_members(*_arrays(table, key[1].as_py()))
+        return _connect(Members(table, key[1].as_py()))
 
     return members.groupBy("region", "cls").applyInArrow(run, PAIRS)
 
 
-def _tiles(members: DataFrame) -> DataFrame:
-    """All pairs of a region in blocks: members are dealt to tiles, and every two tiles meet in a group of their own."""
-    count = F.ceil(F.col("size") / TILE).cast("int")
-    dealt = members.withColumn("tiles", count).withColumn("tile", F.pmod(F.xxhash64("rid"), F.col("tiles")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
-    met = dealt.select("*", other.alias("other")).select(
-        "region", "cls", "rid", "n", "sketch", "core", "d", "tile", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2")
+def _tiles(members: DataFrame, cores: DataFrame) -> DataFrame:
+    """Links of regions that splitting does not help, in square tiles, the members of a tile first and then tile with tile.
+
+    After the first step a member is labelled with its component. The largest component of a region goes to tiles of its own,
+    which meet no other such tile, and a region that is one component by then is done. So a group of near copies costs a
+    comparison of tiles once, and no step returns more links than there are members in a task.
+    """
+    dealt = members.withColumn("tile", F.pmod(F.xxhash64("rid"), F.ceil(F.col("size") / _held(TILE)).cast("int")))
+
+    def inside(key, table):
+        return _connect(Members(table, key[1].as_py()))
+
+    inner = written(dealt.groupBy("region", "cls", "tile").applyInArrow(inside, PAIRS), "inner")
+    roots = components(inner.unionByName(cores)).select("rid", "root")
+    known = written(dealt.drop("label", "tile").join(roots, "rid", "left").withColumn("label", F.coalesce("root", "rid")).drop("root"), "labelled")
+    by_label = known.groupBy("region", "cls", "label").agg(F.count("*").alias("k"))
+    largest = by_label.groupBy("region", "cls").agg(F.max(F.struct("k", F.negate("label").alias("label"))).alias("m"), F.sum("k").alias("all"))
+    largest = largest.filter("m.k < all").select("region", "cls", F.negate(F.col("m.label")).alias("main"), F.col("m.k").alias("k"), F.col("all"))
+    parts = known.join(largest, ["region", "cls"])
+    tiles = [F.ceil(n / _held(TILE)).cast("int") for n in (F.col("all") - F.col("k"), F.col("k"))]
+    parts = parts.withColumn("few", tiles[0]).withColumn("many", tiles[1]).withColumn("is_main", F.col("label") == F.col("main"))
+    own = F.when(F.col("is_main"), F.col("few") + F.pmod(F.xxhash64("rid"), F.col("many"))).otherwise(F.pmod(F.xxhash64("rid"), F.col("few")))
+    others = F.sequence(F.lit(0), F.when(F.col("is_main"), F.col("few")).otherwise(F.col("few") + F.col("many")) - 1)
+    met = parts.withColumn("tile", own.cast("int")).select("*", F.explode(others).alias("other")).filter("tile <> other")
+    met = met.select(
+        "region", "cls", "rid", "n", "sketch", "elements", "label", "d", "tile", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2")
     )
 
-    def run(key, table):
+    def across(key, table):
         cls, t1, t2 = key[1].as_py(), key[2].as_py(), key[3].as_py()
-        if t1 == t2:
-            return _join_members(*_arrays(table, cls))
-        tile = table["tile"].to_numpy()
-        one, two = table.filter(pa.array(tile == t1)), table.filter(pa.array(tile == t2))
-        return _join_members(*_arrays(one, cls), other=_arrays(two, cls))
+        one, two = (Members(table.filter(pc.equal(table["tile"], t)), cls) for t in (t1, t2))
+        return _connect(one, two)
 
-    return met.groupBy("region", "cls", "t1", "t2").applyInArrow(run, PAIRS)
+    # Members that fell into one tile and are of one component by now met in the first step only if that tile was theirs then.
+    again = parts.withColumn("tile", own.cast("int")).filter("not is_main")
+    same = again.groupBy("region", "cls", "tile").applyInArrow(inside, PAIRS)
+    outer = met.groupBy("region", "cls", "t1", "t2").applyInArrow(across, PAIRS)
+    return inner.unionByName(same).unionByName(outer)
 
 
 def _voronoi(members: DataFrame, depth: int) -> DataFrame:
@@ -374,23 +444,21 @@ def links_of(placed: DataFrame, members: DataFrame) -> DataFrame:
         links.append(cores)
         left = _open_members(star, cores)
         sizes = left.groupBy("region", "cls").agg(F.count("*").alias("size")).filter("size > 1")
-        open_members = written(
-            left.join(sizes, ["region", "cls"]).join(members.select("rid", "n", "sketch"), "rid"), "open"
-        )
-        pairs = _leaves(open_members.filter(F.col("size") <= LEAF))
-        large = open_members.filter(F.col("size") > LEAF)
+        left = written(left.join(sizes, ["region", "cls"]), "left")
+        sets = _selected(placed.select("rid", "n", "sketch", "elements"), left.select("rid").distinct())
+        open_members = written(left.join(sets, "rid"), "open")
+        links.append(written(_leaves(open_members.filter(F.col("size") <= _held(LEAF))), "links"))
+        large = open_members.filter(F.col("size") > _held(LEAF))
         if large.isEmpty():
-            links.append(written(verified(pairs, placed), "links"))
             break
         if depth == DEPTH:
-            links.append(written(verified(pairs.unionByName(_tiles(large)), placed), "links"))
+            links.append(written(_tiles(large, cores), "links"))
             break
-        split = written(_voronoi(large, depth), "split")
+        split = written(_voronoi(large.drop("elements"), depth), "split")
         cells = split.select("region", "cls", "size", F.explode("sub").alias("to")).groupBy("region", "cls", "size", "to").agg(F.count("*").alias("m"))
         gain = cells.groupBy("region", "cls", "size").agg(F.sum("m").alias("total"), F.max("m").alias("most"))
         useful = gain.filter("total <= 1.5 * size and most <= 0.8 * size").select("region", "cls")
-        whole = split.join(useful, ["region", "cls"], "left_anti")
-        links.append(written(verified(pairs.unionByName(_tiles(whole)), placed), "links"))
+        links.append(written(_tiles(large.join(useful, ["region", "cls"], "left_anti"), cores), "links"))
         parts = split.join(useful, ["region", "cls"], "left_semi")
         regions = written(
             parts.select(F.explode("sub").alias("to"), "region", "cls", "rid", "n", "sketch").select(
