@@ -100,6 +100,18 @@ def src_csv(spark, sf_dir):
     return read_csv(spark, write_csv_blank(orders, scratch_folder(spark, "orders")), orders.schema)
 
 
+@query(
+    "src_csv_multiline",
+    """SELECT doc_id, coalesce(nullif(text, 'NA'), '') AS text, coalesce(nullif(lang, 'NA'), '') AS lang,
+    coalesce(nullif(source, 'NA'), '') AS source, n_chars FROM documents""",
+)
+def src_csv_multiline(spark, sf_dir):
+    """All texts in one file; its ranges are read by many tasks, most of them beginning within a quoted text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    path = write_csv_blank(docs.coalesce(1), scratch_folder(spark, "documents"))
+    return read_csv(spark, path, docs.schema, split=True)
+
+
 @query(
     "src_csv_override",
     """SELECT CAST(s_suppkey AS INT) AS s_suppkey, concat('0', CAST(s_nationkey AS STRING)) AS code,

@@ -10,6 +10,7 @@ from pyspark.sql.types import DataType, IntegerType, StringType, StructField, St
 
 from traitloom.functions.nulls import blank_to_null
 from traitloom.operators.columns import ref, require
+from traitloom.sources.split_csv import read_csv_split, read_csv_split_inferred
 
 EAV_COLUMNS = ("TraitID", "AccSpeciesName", "TraitName", "DataName", "OrigValueStr", "OrigUnitStr")
 
@@ -23,7 +24,7 @@ EAV_FORMAT = {
 }
 
 # Quotes inside a quoted field are doubled; blanks around a field belong to the value. A quoted text may hold line breaks, so
-# a file is not split: keep files small, as our writers do. A header that differs from the schema is an error.
+# Spark does not split a file; for large ones see split_csv. A header that differs from the schema is an error.
 CSV_FORMAT = {"header": True, "escape": '"', "multiLine": True, "enforceSchema": False}
 
 
@@ -67,22 +68,29 @@ def read_eav_tsv(spark: SparkSession, path: str, schema: StructType | None = Non
     return df
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, blank_text: str = "keep") -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: StructType, blank_text: str = "keep", split: bool = False) -> DataFrame:
     """CSV with a given schema: no inference pass over the data.
 
-    Blank numbers and ``NA`` are NULL. Blank text is ``""`` with ``blank_text="keep"`` and NULL with ``"null"``.
+    Blank numbers and ``NA`` are NULL. Blank text is ``""`` with ``blank_text="keep"`` and NULL with ``"null"``. With ``split``
+    many tasks read a file, which takes one pass more: for large files.
     """
-    df = spark.read.options(**CSV_FORMAT).schema(schema).csv(path)
+    df = read_csv_split(spark, path, schema) if split else spark.read.options(**CSV_FORMAT).schema(schema).csv(path)
     return _blank_is_text(df) if blank_text == "keep" else _blank_is_missing(df)
 
 
-def read_csv_inferred(spark: SparkSession, path: str, types: Mapping[str, DataType] | None = None) -> DataFrame:
+def read_csv_inferred(
+    spark: SparkSession, path: str, types: Mapping[str, DataType] | None = None, split: bool = False
+) -> DataFrame:
     """CSV with inferred types, some of them overridden; blank and ``NA`` are NULL.
 
+    With ``split`` many tasks read a file; the types are then those of ``split_csv.infer_types``.
+
     The override enters the schema before the rows are read. Casting afterwards would be too late: ``01`` inferred as a
     number has already lost its zero.
     """
     types = types or {}
+    if split:
+        return read_csv_split_inferred(spark, path, types)
     inferred = spark.read.options(**CSV_FORMAT, inferSchema=True, nullValue="NA").csv(path)
     require(inferred, types)
     schema = StructType([StructField(f.name, types.get(f.name, f.dataType)) for f in inferred.schema])
