@@ -261,3 +261,29 @@ def test_states_of_masks_merge_to_the_statistics_of_the_rows(spark):
 
 def test_profile_by_flag_of_an_empty_table(spark):
     assert numeric_profile_by_flag(spark.createDataFrame([], "x double, S int"), ["x"], ["S"]).count() == 0
+
+
+def test_names_outside_the_list_go_to_a_map(spark):
+    data = [("a", "x", "1"), ("a", "y", "2"), ("a", None, "3"), ("b", "x", "4"), ("c", "z", None), (None, "y", "5")]
+    df = spark.createDataFrame(data, "k string, n string, v string")
+
+    def found(wide):
+        return {r["k"]: (r["x"], r["other"]) for r in wide.collect()}
+
+    want = {"a": ("1", {"y": "2", "NA": "3"}), "b": ("4", {}), "c": (None, {"z": None}), None: (None, {"y": "5"})}
+    assert found(pivot_wider(df, "k", "n", "v", ["x"], unlisted="map")) == want
+    texts = {**want, "c": (None, {"z": "NA"})}
+    assert found(collapse_wider(df, "k", "n", "v", ["x"], unlisted="map")) == texts
+    twice = df.unionByName(df).unionByName(df.filter("n = 'y'").withColumn("v", F.lit("0")))
+    collapsed = found(collapse_wider(twice, "k", "n", "v", ["x"], unlisted="map", distinct=True))
+    assert collapsed["a"] == ("1", {"y": "0; 2", "NA": "3"})
+    numbers = df.withColumn("v", F.col("v").cast("double"))
+    more = numbers.unionByName(numbers.withColumn("v", F.col("v") + 1))
+    means = found(mean_wider(more, "k", "n", "v", ["x"], unlisted="map"))
+    assert means["a"] == (1.5, {"y": 2.5, "NA": 3.5}) and means["c"] == (None, {"z": None})
+    with pytest.raises(Exception, match="several entries"):
+        pivot_wider(twice, "k", "n", "v", ["x"], unlisted="map").collect()
+    with pytest.raises(ValueError, match="already"):
+        pivot_wider(df, "k", "n", "v", ["other"], unlisted="map")
+    with pytest.raises(ValueError, match="neither"):
+        pivot_wider(df, "k", "n", "v", ["x"], unlisted="keep")

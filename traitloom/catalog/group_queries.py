@@ -132,6 +132,38 @@ def rsh_collapse_wide(spark, sf_dir):
     return collapse_wider(_entries(spark, sf_dir), "entity", "attribute", "value", ["flag", "ship_month", "NA"])
 
 
+_AS_TEXT = "array_join(transform(array_sort(map_entries(other)), e -> concat(e.key, '=', e.value)), '|')"
+
+
+@query(
+    "rsh_pivot_overflow",
+    f"""WITH {_ENTRIES_SQL}, collapsed AS (
+        SELECT entity, coalesce(attribute, 'NA') AS attribute, string_agg(value, '; ' ORDER BY value) AS v
+        FROM entries GROUP BY 1, 2)
+    SELECT entity, max(CASE WHEN attribute = 'flag' THEN v END) AS flag,
+    coalesce(string_agg(concat(attribute, '=', v), '|' ORDER BY attribute) FILTER (WHERE attribute <> 'flag'), '') AS other
+    FROM collapsed GROUP BY entity""",
+)
+def rsh_pivot_overflow(spark, sf_dir):
+    wide = collapse_wider(_entries(spark, sf_dir), "entity", "attribute", "value", ["flag"], unlisted="map")
+    return wide.select("entity", "flag", F.expr(_AS_TEXT).alias("other"))
+
+
+@query(
+    "rsh_pivot_mean_overflow",
+    """WITH means AS (SELECT l_partkey, l_returnflag AS f, CAST(floor(avg(l_quantity) * 100) AS BIGINT) AS m FROM lineitem GROUP BY 1, 2)
+    SELECT l_partkey, max(CASE WHEN f = 'A' THEN m END) AS "A",
+    coalesce(string_agg(concat(f, '=', CAST(m AS STRING)), '|' ORDER BY f) FILTER (WHERE f <> 'A'), '') AS other
+    FROM means GROUP BY l_partkey""",
+)
+def rsh_pivot_mean_overflow(spark, sf_dir):
+    wide = mean_wider(table(spark, sf_dir, "lineitem"), "l_partkey", "l_returnflag", "l_quantity", ["A"], unlisted="map")
+    hundredths = F.transform_values("other", lambda _, v: F.floor(v * 100).cast("string"))
+    return wide.select("l_partkey", F.floor(F.col("A") * 100).alias("A"), hundredths.alias("other")).select(
+        "l_partkey", "A", F.expr(_AS_TEXT).alias("other")
+    )
+
+
 @query(
     "rsh_pivot_mean",
     """SELECT l_partkey, round(avg(CASE WHEN l_returnflag = 'A' THEN l_quantity END), 6) AS "A",
