@@ -9,6 +9,8 @@ from traitloom.catalog.registry import query
 from traitloom.catalog.views import CURATED_SQL, RECORDS_SQL, RUN_DATE, curated, records, table
 from traitloom.plans.spec import CURATED_COLUMNS
 from traitloom.sources.checked import LONG, NOT_WHOLE, SHORT, checked_lines, land_checked
+from traitloom.sources.lossless_csv import read_csv_lossless, write_csv_lossless
+from traitloom.sources.published import publish, read_published
 from traitloom.sources.readers import EAV_FORMAT, read_attributes, read_csv, read_csv_inferred, read_eav_tsv
 from traitloom.sources.scratch import scratch_folder
 from traitloom.sources.writers import write_csv_blank, write_csv_na, write_eav_tsv, write_snapshot
@@ -172,6 +174,40 @@ def sink_csv_na_text(spark, sf_dir):
     return spark.read.options(header=True, escape='"').schema(as_text).csv(path).fillna("")
 
 
+@query(
+    "sink_csv_lossless",
+    f"""SELECT o_orderkey, o_custkey, nullif(o_orderstatus, 'P') AS status, nullif(o_totalprice, 0) AS o_totalprice,
+    {_PRIORITY_SQL} AS priority, o_orderdate FROM orders""",
+)
+def sink_csv_lossless(spark, sf_dir):
+    """Missing and blank texts, and the types, as they went out."""
+    orders = _orders(spark, sf_dir).join(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), "o_orderkey")
+    return read_csv_lossless(spark, write_csv_lossless(orders, scratch_folder(spark, "orders")))
+
+
+@query(
+    "sink_documents_lossless",
+    "SELECT doc_id, text, lang, source, n_chars FROM documents",
+)
+def sink_documents_lossless(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    return read_csv_lossless(spark, write_csv_lossless(docs, scratch_folder(spark, "documents")))
+
+
+@query(
+    "sink_published",
+    """SELECT c_custkey AS key, c_name AS name, '2022-11-09' AS run_date FROM customer
+    UNION ALL SELECT s_suppkey, s_name, '2022-11-10' FROM supplier""",
+)
+def sink_published(spark, sf_dir):
+    customers = table(spark, sf_dir, "customer").selectExpr("c_custkey AS key", "c_name AS name")
+    suppliers = table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS key", "s_name AS name")
+    path = scratch_folder(spark, "published")
+    for rows, day in ((customers, RUN_DATE), (customers, "2022-11-10"), (suppliers, "2022-11-10")):
+        publish(rows, path, day)
+    return read_published(spark, path)
+
+
 @query(
     "sink_dated_snapshot",
     """SELECT c_custkey AS key, c_name AS name, '2022-11-09' AS run_date FROM customer
