@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
+import pyarrow.parquet as pq
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,8 @@ HEAD = np.dtype([("doc_id", "<i8"), ("part", "<u4"), ("tokens", "<u4")])
 ROW_TOKENS = 496
 #: Records of a shard (32 MB with one-byte tokens), and how many parts the slots are shuffled in, one after the other.
 SHARD_ROWS, WAVES = 1 << 16, 4
+#: Records that are read from a shard at once.
+READ_RECORDS = 4096
 ROUNDS = 6
 NO_ID = np.iinfo(np.int64).min
 
@@ -108,10 +111,12 @@ def materialise(
     reading be split differently, as when the cluster changed in between, the counts do not agree and the job fails instead
     of giving a slot twice. The slots are taken in ``waves`` ranges, each shuffled by shard and written before the next.
     A null id is kept as null; repeated rows are sequences of their own. Other columns are not carried. ``folder`` must be
-    new or empty, for the readers take every shard in it.
+    new or empty. A path without a scheme is one of Spark's default file system, on the executors as well. The manifest is
+    written last, when all shards are there; the readers go by it.
     """
-    _require_empty(folder)
     spark = sequences.sparkSession
+    folder = qualified(spark, folder)
+    _require_empty(folder)
     step = row_tokens * token_bytes
     source = sequences.select(ref(id_column).cast("long").alias("id"), ref(tokens).cast("binary").alias("tokens"))
     size = F.ceil(F.coalesce(F.octet_length("tokens"), F.lit(0)) / step).cast("long")
@@ -181,13 +186,33 @@ def materialise(
 
     schema = "shard long, first_slot long, rows long, path string"
     bounds = sorted({shards * w // waves for w in range(waves + 1)})
-    manifest = f"{folder}/manifest"
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(manifest)
+    done = f"{folder}/done"
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(done)
     with shuffles_released(spark):
         for first, last in zip(bounds[:-1], bounds[1:]):
             rows = source.mapInArrow(cut(first, last), "shard long, slot long, record binary")
-            rows.groupBy("shard").applyInArrow(write, schema).write.mode("append").parquet(manifest)
-    return spark.read.schema(schema).parquet(manifest)
+            rows.groupBy("shard").applyInArrow(write, schema).write.mode("append").parquet(done)
+    listed = spark.read.schema(schema).parquet(done)
+    if (found := listed.count()) != shards:
+        raise RuntimeError(f"{found} of {shards} shards were written")
+    listed.write.parquet(f"{folder}/manifest")
+    return spark.read.schema(schema).parquet(f"{folder}/manifest")
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme of the file system Spark takes it to be on."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return path.makeQualified(files.getUri(), files.getWorkingDirectory()).toString()
+
+
+def _listed(folder: str) -> dict[int, int]:
+    """Records of every shard of a finished run."""
+    files, base = _open(folder)
+    if files.get_file_info(f"{base}/manifest").type != pa.fs.FileType.Directory:
+        raise FileNotFoundError(f"{folder} has no manifest: the run that writes it has not finished")
+    rows = pq.read_table(f"{base}/manifest", filesystem=files, columns=["shard", "rows"])
+    return dict(zip(rows["shard"].to_pylist(), rows["rows"].to_pylist()))
 
 
 def records_of(data: memoryview, first_slot: int, token_bytes: int, row_tokens: int, skip: int = 0) -> Iterator[tuple]:
@@ -200,13 +225,27 @@ def records_of(data: memoryview, first_slot: int, token_bytes: int, row_tokens:
 
 
 def read_from(folder: str, slot: int, shard_rows: int = SHARD_ROWS, token_bytes: int = 1, row_tokens: int = ROW_TOKENS):
-    """Records from ``slot`` to the end, shard after shard: where to go on after a stop follows from the slot alone."""
+    """Records from ``slot`` to the end, shard after shard: where to go on after a stop follows from the slot alone.
+
+    The manifest says which shards there are; one that is missing, or has another size, is an error. Reading begins at the
+    slot's own place in its shard. A path without a scheme is a local one here.
+    """
     files, base = _open(folder)
-    shard, skip = divmod(slot, shard_rows)
-    while files.get_file_info(path := shard_path(base, shard)).type == pa.fs.FileType.File:
+    listed = _listed(folder)
+    stride = HEAD.itemsize + row_tokens * token_bytes
+    first, skip = divmod(slot, shard_rows)
+    for shard in range(first, len(listed)):
+        path = shard_path(base, shard)
+        found = files.get_file_info(path)
+        if found.type != pa.fs.FileType.File or found.size != listed.get(shard, -1) * stride:
+            raise FileNotFoundError(f"{path} is missing or has not the {listed.get(shard, 0)} records the manifest names")
         with files.open_input_file(path) as stream:
-            yield from records_of(memoryview(stream.read()), shard * shard_rows, token_bytes, row_tokens, skip)
-        shard, skip = shard + 1, 0
+            stream.seek(skip * stride)
+            at = shard * shard_rows + skip
+            while data := stream.read(READ_RECORDS * stride):
+                yield from records_of(memoryview(data), at, token_bytes, row_tokens)
+                at += len(data) // stride
+        skip = 0
 
 
 READ = "slot long, shard long, byte_offset long, doc_id long, part long, n_tokens long, tokens binary"
@@ -215,8 +254,19 @@ READ = "slot long, shard long, byte_offset long, doc_id long, part long, n_token
 def read_shards(
     spark: SparkSession, folder: str, shard_rows: int = SHARD_ROWS, token_bytes: int = 1, row_tokens: int = ROW_TOKENS
 ) -> DataFrame:
-    """Every record of every shard below ``folder``, a shard per task."""
+    """Every record of every shard of ``folder``, a shard per task. The files must be those of the manifest, neither fewer nor
+    more, each with the size its records make."""
     stride = HEAD.itemsize + row_tokens * token_bytes
+    folder = qualified(spark, folder)
+    shards = spark.read.format("binaryFile").option("pathGlobFilter", "shard-*.bin").load(folder)
+    number = F.regexp_extract("path", r"shard-(\d+)\.bin$", 1).cast("long")
+    there = shards.select(number.alias("found"), "length")
+    if "manifest" not in _names(folder):
+        raise FileNotFoundError(f"{folder} has no manifest: the run that writes it has not finished")
+    listed = spark.read.parquet(f"{folder}/manifest").select("shard", (F.col("rows") * stride).alias("bytes"))
+    wrong = listed.join(there, F.col("shard") == F.col("found"), "full").filter("not (bytes <=> length)").first()
+    if wrong is not None:
+        raise FileNotFoundError(f"{folder}: shard {wrong['shard']} of {wrong['bytes']} bytes expected, {wrong['found']} of {wrong['length']} found")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -231,8 +281,12 @@ def read_shards(
                 if rows:
                     yield _batch(rows, shard, shard_rows, stride, token_bytes)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "shard-*.bin").load(folder).select("path", "content")
-    return files.mapInArrow(run, READ)
+    return shards.select("path", "content").mapInArrow(run, READ)
+
+
+def _names(folder: str) -> set[str]:
+    files, base = _open(folder)
+    return {f.base_name for f in files.get_file_info(pa.fs.FileSelector(base, allow_not_found=True))}
 
 
 def _batch(rows: list, shard: int, shard_rows: int, stride: int, token_bytes: int) -> pa.RecordBatch:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-# Odd, so that it has an inverse modulo 2**64.
+# Odd, so that multiplying by it is a bijection modulo 2**64.
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _S33 = np.uint64(33)
 
@@ -41,20 +41,6 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _S33)
 
 
-_powers = {}
-
-
-def _power_table(base: np.uint64, n: int) -> np.ndarray:
-    table = _powers.get(int(base))
-    if table is None or len(table) < n:
-        steps = np.full(max(n, CHUNK_BYTES + 1), base, dtype=np.uint64)
-        steps[0] = 1
-        table = np.multiply.accumulate(steps)
-        if n <= 4 * CHUNK_BYTES:
-            _powers[int(base)] = table
-    return table[:n]
-
-
 def text_chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, rows, bytes, offsets)`` for consecutive rows of a string column; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
@@ -99,13 +85,33 @@ def lower_ascii(raw: np.ndarray) -> np.ndarray:
     return _LOWER[raw]
 
 
+#: Longer spans are hashed one by one.
+_LONG = 512
+
+
 def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash per span: a polynomial in the bytes, taken from running sums, then mixed with the length."""
-    n = len(raw)
-    running = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _power_table(_BASE, n), out=running[1:])
-    value = (running[end] - running[start]) * _power_table(_BASE_INVERSE, n + 1)[start]
-    return mix(value ^ ((end - start).astype(np.uint64) << np.uint64(48)))
+    """A 64-bit hash per span.
+
+    Eight bytes at a time are added to the state by exclusive or and mixed: a bijection of the state for every eight bytes, so
+    spans that differ in one place differ in the hash, and no sums of powers that structured texts could make equal. All spans
+    advance together; those that have ended drop out.
+    """
+    length = end - start
+    hashes = mix(length.astype(np.uint64) * _BASE)
+    padded = np.concatenate([raw, np.zeros(8, dtype=np.uint8)])
+    words = np.ndarray(shape=(len(raw) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    live = np.flatnonzero((length > 0) & (length <= _LONG))
+    done = 0
+    while len(live):
+        left = np.minimum(length[live] - done, 8).astype(np.uint64)
+        block = words[start[live] + done] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.uint64(8) * left))
+        hashes[live] = mix((hashes[live] ^ block) * _BASE + _M2)
+        done += 8
+        live = live[length[live] > done]
+    for i in np.flatnonzero(length > _LONG):
+        digest = hashlib.blake2b(raw[start[i] : end[i]].tobytes(), digest_size=8).digest()
+        hashes[i] = np.frombuffer(digest, dtype="<u8")[0]
+    return hashes
 
 
 def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
