@@ -25,7 +25,7 @@ def _number_records(eav: DataFrame, spec: TraitSpec) -> DataFrame:
     )
 
 
-def _column_name(spec: TraitSpec):
+def number_column(spec: TraitSpec):
     trait = label(F.col("DataName"), spec.number_traits)
     return always_with_unit(trait, convert_unit(F.col("OrigUnitStr"), spec.unit_rules))
 
@@ -33,7 +33,7 @@ def _column_name(spec: TraitSpec):
 def _measurements(distinct: DataFrame, spec: TraitSpec) -> DataFrame:
     return distinct.select(
         F.col(SPECIES).alias("species"),
-        _column_name(spec).alias("trait_units"),
+        number_column(spec).alias("trait_units"),
         convert_value(to_number(clean_value(spec)), F.col("OrigUnitStr"), spec.unit_rules).alias("value"),
     )
 
@@ -51,7 +51,7 @@ def wide_numbers(eav: DataFrame, spec: TraitSpec = DEFAULT_SPEC) -> DataFrame:
         .withColumns(
             {
                 SPECIES: species_name(F.col("AccSpeciesName")),
-                "__known": _column_name(spec).isin(list(spec.number_columns)),
+                "__known": number_column(spec).isin(list(spec.number_columns)),
             }
         )
         .select(SPECIES, *[F.when(known, ref(name)).alias(name) for name in eav.columns])
@@ -62,6 +62,6 @@ def wide_numbers(eav: DataFrame, spec: TraitSpec = DEFAULT_SPEC) -> DataFrame:
 
 def unmapped_numbers(eav: DataFrame, spec: TraitSpec = DEFAULT_SPEC) -> DataFrame:
     """Means that have no column in the wide table, under the column name they would have had."""
-    rows = _number_records(eav, spec).filter(~_column_name(spec).isin(list(spec.number_columns))).distinct()
+    rows = _number_records(eav, spec).filter(~number_column(spec).isin(list(spec.number_columns))).distinct()
     rows = rows.withColumn(SPECIES, species_name(F.col("AccSpeciesName")))
     return mean_by(_measurements(rows, spec), ["species", "trait_units"], "value")

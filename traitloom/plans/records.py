@@ -21,11 +21,16 @@ def clean_value(spec: TraitSpec) -> Column:
     return decode_month(F.col("OrigValueStr"), F.col("OrigUnitStr"), spec.value_fixes)
 
 
-def wanted_records(eav: DataFrame, spec: TraitSpec) -> DataFrame:
-    """Records of the wanted traits that hold a value, also once misprints are corrected. The conditions reach the scan."""
+def is_wanted(spec: TraitSpec) -> Column:
+    """Records of the wanted traits that hold a value, also once misprints are corrected."""
     value = F.col("OrigValueStr")
     holds = has_text(value)
     blanked = [raw for raw, fixed in spec.value_fixes.items() if not (fixed or "").strip()]
     if blanked:
         holds = holds & ~value.isin(blanked)
-    return eav.filter(F.col("TraitID").isin(list(spec.trait_ids)) & holds)
+    return F.col("TraitID").isin(list(spec.trait_ids)) & holds
+
+
+def wanted_records(eav: DataFrame, spec: TraitSpec) -> DataFrame:
+    """The rows of ``is_wanted``. The conditions reach the scan."""
+    return eav.filter(is_wanted(spec))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields, replace
 
 from traitloom.functions.numeric import UnitRule
 
@@ -279,3 +280,21 @@ class TraitSpec:
 
 
 DEFAULT_SPEC = TraitSpec()
+
+
+def spec_from_json(text: str) -> TraitSpec:
+    """A study's vocabulary from JSON: the fields named there, the defaults for all others. Unknown fields are an error."""
+    given = json.loads(text)
+    unknown = set(given) - {f.name for f in fields(TraitSpec)}
+    if unknown:
+        raise ValueError(f"TraitSpec has no fields {sorted(unknown)}")
+
+    def plain(value):
+        if isinstance(value, list):
+            return tuple(plain(v) for v in value)
+        return {k: plain(v) for k, v in value.items()} if isinstance(value, dict) else value
+
+    values = {name: plain(value) for name, value in given.items()}
+    if "unit_rules" in values:
+        values["unit_rules"] = tuple(UnitRule(*rule) for rule in values["unit_rules"])
+    return replace(DEFAULT_SPEC, **values)

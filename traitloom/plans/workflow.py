@@ -10,15 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from traitloom.plans.branches import BRANCHES, NUMBER, NUMBER_OTHER, TEXT, TEXT_OTHER, record_branch
 from traitloom.plans.enrich import integrate
 from traitloom.plans.numbers import unmapped_numbers, wide_numbers
-from traitloom.plans.spec import CURATED_COLUMNS, DEFAULT_SPEC, TraitSpec
+from traitloom.plans.spec import CURATED_COLUMNS, DEFAULT_SPEC, TraitSpec, spec_from_json
 from traitloom.plans.stats import write_profiles
 from traitloom.plans.text import unmapped_text, wide_text
 from traitloom.session import CLUSTER_SETTINGS, SETTINGS
 from traitloom.sources.checked import Landed, checked_lines, land_checked
+from traitloom.sources.lossless_csv import write_csv_lossless
 from traitloom.sources.readers import read_attributes
-from traitloom.sources.writers import write_snapshot
+from traitloom.sources.writers import write_csv_blank, write_csv_na, write_snapshot
 
 
 def land_records(raw: DataFrame, path: str, spec: TraitSpec = DEFAULT_SPEC) -> DataFrame:
@@ -28,9 +30,15 @@ def land_records(raw: DataFrame, path: str, spec: TraitSpec = DEFAULT_SPEC) -> D
 
 
 def land_raw(spark: SparkSession, raw_path: str, path: str, schema: StructType | None = None, spec: TraitSpec = DEFAULT_SPEC) -> Landed:
-    """The text file read once, with an account of every line: wanted traits, lines that could not be read, and counts."""
+    """The text file read once, with an account of every line: wanted traits by the job that uses them, lines that could not be
+    read, and counts."""
     checked = checked_lines(spark, raw_path, schema)
-    return land_checked(checked, path, F.col("TraitID").isin(list(spec.trait_ids)))
+    return land_checked(checked, path, F.col("TraitID").isin(list(spec.trait_ids)), record_branch(spec), BRANCHES)
+
+
+#: How the tables for readers outside Spark are written, beside the Parquet folders: a missing value is a blank field, the text
+#: ``NA``, or told apart from a blank text.
+FILE_FORMATS = {"csv": write_csv_blank, "csv_na": write_csv_na, "csv_lossless": write_csv_lossless}
 
 
 def run(
@@ -41,31 +49,44 @@ def run(
     run_date: datetime.date | str,
     raw_schema: StructType | None = None,
     spec: TraitSpec = DEFAULT_SPEC,
+    curated_schema: StructType | None = None,
+    aligned_references: bool = False,
+    file_format: str = "parquet",
 ) -> dict[str, str]:
     """Raw records and curated table in, written tables out; returns their folders by name.
 
-    ``rejects`` holds the raw lines that could not be read, ``accounts`` how many lines went where; neither stops the run.
+    ``rejects`` holds the raw lines that could not be read, ``accounts`` how many lines went where; neither stops the run. With a
+    ``curated_schema`` the curated table is CSV. With a ``file_format`` of ``FILE_FORMATS`` the wide tables and the integrated
+    one are written once more, under ``out/files``.
     """
+    if file_format not in ("parquet", *FILE_FORMATS):
+        raise ValueError(f"file_format: {file_format!r} is neither 'parquet' nor one of {sorted(FILE_FORMATS)}")
     day = str(run_date)
     landed = land_raw(spark, raw_path, f"{out}/records", raw_schema, spec)
-    records = landed.records
+    part = landed.branches
+    text_records, number_records = part[TEXT].unionByName(part[TEXT_OTHER]), part[NUMBER].unionByName(part[NUMBER_OTHER])
     tables = {
         "rejects": landed.rejects,
         "accounts": accounts(spark, landed),
-        "wide_text": wide_text(records, spec),
-        "wide_numbers": wide_numbers(records, spec),
-        "unmapped_text": unmapped_text(records, spec),
-        "unmapped_numbers": unmapped_numbers(records, spec),
+        "wide_text": wide_text(text_records, spec),
+        "wide_numbers": wide_numbers(number_records, spec),
+        "unmapped_text": unmapped_text(part[TEXT_OTHER], spec),
+        "unmapped_numbers": unmapped_numbers(part[NUMBER_OTHER], spec),
     }
     written = {name: write_snapshot(table, f"{out}/{name}", day) for name, table in tables.items()}
-    text = spark.read.schema(tables["wide_text"].schema).parquet(f"{out}/wide_text/run_date={day}")
-    numbers = spark.read.schema(tables["wide_numbers"].schema).parquet(f"{out}/wide_numbers/run_date={day}")
 
-    curated = read_attributes(spark, curated_path, CURATED_COLUMNS)
-    integrated = integrate(curated, text, numbers, spec)
+    def of_day(name: str, schema: StructType) -> DataFrame:
+        return spark.read.schema(schema).parquet(f"{out}/{name}/run_date={day}")
+
+    text, numbers = (of_day(name, tables[name].schema) for name in ("wide_text", "wide_numbers"))
+    curated = read_attributes(spark, curated_path, CURATED_COLUMNS, curated_schema)
+    integrated = integrate(curated, text, numbers, spec, aligned_references)
     written["integrated"] = write_snapshot(integrated, f"{out}/integrated", day)
-    traits = spark.read.schema(integrated.schema).parquet(f"{out}/integrated/run_date={day}")
+    traits = of_day("integrated", integrated.schema)
     written.update(write_profiles(traits, f"{out}/stats", day, spec))
+    if file_format != "parquet":
+        for name, table in (("wide_text", text), ("wide_numbers", numbers), ("integrated", traits)):
+            written[f"{name}_file"] = FILE_FORMATS[file_format](table, f"{out}/files/{name}/run_date={day}")
     return written
 
 
@@ -75,19 +96,43 @@ def accounts(spark: SparkSession, landed: Landed) -> DataFrame:
     return spark.createDataFrame(rows + sorted(landed.reasons.items()), "entry string, lines long")
 
 
+def _schema(path: str | None) -> StructType | None:
+    """A schema as in ``CREATE TABLE``, from a text file."""
+    if path is None:
+        return None
+    with open(path) as file:
+        return StructType.fromDDL(file.read())
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("raw", help="raw records, tab-separated")
-    parser.add_argument("curated", help="curated attribute table, Parquet")
+    parser.add_argument("curated", help="curated attribute table: Parquet, or CSV with --curated-schema")
     parser.add_argument("out", help="output folder")
     parser.add_argument("--run-date", default=datetime.date.today().isoformat())
+    parser.add_argument("--raw-schema", help="text file: names and types of the raw columns")
+    parser.add_argument("--curated-schema", help="text file: names and types of the curated table's CSV columns")
+    parser.add_argument("--spec", help="JSON file: fields of TraitSpec that differ from the defaults")
+    parser.add_argument("--aligned-references", action="store_true", help="a value and its reference from the same source")
+    parser.add_argument("--file-format", default="parquet", choices=["parquet", *FILE_FORMATS])
     args = parser.parse_args()
+    spec = DEFAULT_SPEC
+    if args.spec:
+        with open(args.spec) as file:
+            spec = spec_from_json(file.read())
     conf = SparkConf()
     local = conf.get("spark.master", "local").startswith("local")
     for name, value in (SETTINGS if local else CLUSTER_SETTINGS).items():
         conf.setIfMissing(name, value)
     spark = SparkSession.builder.appName("traitloom").config(conf=conf).getOrCreate()
-    for name, path in run(spark, args.raw, args.curated, args.out, args.run_date).items():
+    options = dict(
+        raw_schema=_schema(args.raw_schema),
+        curated_schema=_schema(args.curated_schema),
+        spec=spec,
+        aligned_references=args.aligned_references,
+        file_format=args.file_format,
+    )
+    for name, path in run(spark, args.raw, args.curated, args.out, args.run_date, **options).items():
         print(f"{name}\t{path}")
     spark.stop()
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from traitloom.operators.columns import ref, require
-from traitloom.operators.router import tag_rows, write_branches
+from traitloom.operators.router import write_branches
 from traitloom.sources.readers import EAV_COLUMNS, EAV_FORMAT
 
 #: Reasons, in the order in which they are looked for.
@@ -93,6 +93,7 @@ class Landed:
 
     records: DataFrame
     rejects: DataFrame
+    branches: dict[str, DataFrame]
     lines: int
     kept: int
     rejected: int
@@ -104,20 +105,27 @@ class Landed:
         return self.lines == self.kept + self.rejected
 
 
-def land_checked(checked: DataFrame, path: str, keep: Column | None = None) -> Landed:
+def land_checked(
+    checked: DataFrame, path: str, keep: Column | None = None, branch: Column | None = None, branches: tuple[str, ...] = ("record",)
+) -> Landed:
     """Records and rejects written from one scan of the text, a folder each, and counted.
 
     ``keep`` limits the records that are landed; the others count as kept lines that were ``not wanted``, and are not written.
+    ``branch`` deals the records to the named ``branches``, each a folder of its own.
     """
+    spark = checked.sparkSession
     seen = Observation()
     wanted = F.lit(True) if keep is None else F.coalesce(keep, F.lit(False))
     skipped = F.col("reason").isNull() & ~wanted
     watched = checked.observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if(skipped).alias("skipped"))
-    tagged = tag_rows(watched.filter(~skipped), {"reject": F.col("reason").isNotNull()}, "record")
-    parts = write_branches(tagged, path, ("record", "reject"))
-    records, rejects = records_of(parts["record"]), rejects_of(parts["reject"])
+    name = F.lit(branches[0]) if branch is None else branch
+    tagged = watched.filter(~skipped).withColumn("branch", F.when(F.col("reason").isNotNull(), "reject").otherwise(name))
+    parts = write_branches(tagged, path, (*branches, "reject"))
+    rejects = rejects_of(parts.pop("reject"))
+    landed = {name: records_of(rows) for name, rows in parts.items()}
+    records = records_of(spark.read.schema(tagged.schema).parquet(path)).drop("branch")
     reasons = {r["reason"]: r["count"] for r in rejects.groupBy("reason").count().collect()}
     rejected = sum(reasons.values())
     if keep is not None:
         reasons["not wanted"] = seen.get["skipped"]
-    return Landed(records, rejects, seen.get["lines"], records.count() + seen.get["skipped"], rejected, reasons)
+    return Landed(records, rejects, landed, seen.get["lines"], records.count() + seen.get["skipped"], rejected, reasons)
