@@ -88,33 +88,30 @@ def flt_numeric_split(spark, sf_dir):
     "join_left_enrich",
     """SELECT c_custkey, c_name, c_acctbal, n_orders, mean_price FROM customer LEFT JOIN (
         SELECT o_custkey, CAST(count(*) AS BIGINT) AS n_orders, round(avg(floor(o_totalprice)), 4) AS mean_price
-        FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey) ON c_custkey = o_custkey""",
+        FROM orders GROUP BY o_custkey) ON c_custkey = o_custkey""",
 )
 def join_left_enrich(spark, sf_dir):
-    urgent = (
+    per_customer = (
         table(spark, sf_dir, "orders")
-        .filter("o_orderpriority = '1-URGENT'")
         .groupBy(F.col("o_custkey").alias("c_custkey"))
         .agg(F.count(F.lit(1)).alias("n_orders"), F.round(F.avg(F.floor("o_totalprice")), 4).alias("mean_price"))
     )
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
-    return left_enrich(customers, urgent, "c_custkey")  # the left side has one row per customer
+    return left_enrich(customers, per_customer, "c_custkey")  # the left side has one row per customer
 
 
 @query(
     "join_left_two_way",
-    """WITH parts AS (SELECT l_partkey AS partkey, round(avg(l_quantity), 4) AS mean_quantity FROM lineitem
-        WHERE l_returnflag = 'R' GROUP BY l_partkey)
+    """WITH parts AS (SELECT l_partkey AS partkey, round(avg(l_quantity), 4) AS mean_quantity FROM lineitem GROUP BY l_partkey)
     SELECT l.l_orderkey, l.l_linenumber, l.l_partkey AS partkey, parts.mean_quantity, p_name, p_brand
     FROM lineitem l LEFT JOIN parts ON l.l_partkey = parts.partkey
-    LEFT JOIN (SELECT * FROM part WHERE p_size > 10) p ON l.l_partkey = p.p_partkey""",
+    LEFT JOIN part p ON l.l_partkey = p.p_partkey""",
 )
 def join_left_two_way(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
-    means = mean_by(lines.filter("l_returnflag = 'R'"), ["l_partkey"], "l_quantity", "mean_quantity")
+    means = mean_by(lines, ["l_partkey"], "l_quantity", "mean_quantity")
     means = means.select(F.col("l_partkey").alias("partkey"), F.round("mean_quantity", 4).alias("mean_quantity"))
-    parts = table(spark, sf_dir, "part").filter("p_size > 10")
-    parts = parts.select(F.col("p_partkey").alias("partkey"), "p_name", "p_brand")
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("partkey"), "p_name", "p_brand")
     left = lines.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("partkey"))
     return left_enrich_all(left, [means, parts], "partkey")
 

@@ -42,16 +42,16 @@ def sc_recode_map(spark, sf_dir):
 
 @query(
     "sc_recode_table",
-    """SELECT c_custkey, coalesce(n_name, CAST(c_nationkey AS STRING)) AS nation, c_acctbal FROM customer
-    LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 2) ON c_nationkey = n_nationkey""",
+    """SELECT c_custkey, coalesce(r_name, CAST(c_nationkey AS STRING)) AS nation, c_acctbal FROM customer
+    LEFT JOIN region ON c_nationkey = r_regionkey""",
 )
 def sc_recode_table(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").selectExpr(
         "c_custkey", "CAST(c_nationkey AS STRING) AS nation", "c_acctbal"
     )
-    nations = table(spark, sf_dir, "nation").filter("n_regionkey <> 2")
-    mapping = nations.selectExpr("CAST(n_nationkey AS STRING) AS code", "n_name")
-    return recode_from_table(customers, "nation", mapping, "code", "n_name")
+    # Five codes have a name, the others stay as they are.
+    mapping = table(spark, sf_dir, "region").selectExpr("CAST(r_regionkey AS STRING) AS code", "r_name")
+    return recode_from_table(customers, "nation", mapping, "code", "r_name")
 
 
 @query(
@@ -218,12 +218,12 @@ def sc_blank_to_null(spark, sf_dir):
 
 @query(
     "sc_detect_binary",
-    """SELECT conv_id, turn, CASE WHEN contains(t, 'the') THEN 'the' WHEN NOT contains(t, 'the') THEN 'none' END AS code
-    FROM (SELECT conv_id, turn, CASE WHEN role <> 'user' THEN text END AS t FROM conversations)""",
+    """SELECT conv_id, turn, CASE WHEN contains(text, 'the') THEN 'the' WHEN NOT contains(text, 'the') THEN 'none' END AS code
+    FROM conversations""",
 )
 def sc_detect_binary(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations").withColumn("t", F.expr("CASE WHEN role <> 'user' THEN text END"))
-    return turns.select("conv_id", "turn", detect_or_else(F.col("t"), "the", "none").alias("code"))
+    turns = table(spark, sf_dir, "conversations")
+    return turns.select("conv_id", "turn", detect_or_else(F.col("text"), "the", "none").alias("code"))
 
 
 @query(
