@@ -84,3 +84,66 @@ def test_names_alone_never_leave_a_page_empty():
     body = "<nav>menu</nav>" + "".join(f'<div class="widget"><p>{prose(200)}</p></div>' for _ in range(3))
     assert main_text(page(body))[0] == " ".join([prose(200)] * 3)
     assert main_text(page("<nav><a href=a>menu</a></nav>"))[0] == ""
+
+
+NAMES = [
+    "user-comments", "comment-thread", "comments-wrapper", "post-comments", "sidebar-widget", "cookie-banner__text",
+    "advertisement-block", "newsletter-box", "promo-box", "related-content", "site-notice", "commentList", "CookieConsent", "ad",
+    "article-comments", "social_share_links", "left-sidebar", "footer-widgets", "search-box",
+]
+
+
+def comments(n):
+    return "".join(f"<div><b>reader {i}</b><p>{prose(200 + i)}</p></div>" for i in range(n))
+
+
+@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("frame", ["<main>{}</main>", "<article>{}</article>", "<div>{}</div>", "<main><article>{}</article></main>"])
+def test_parts_are_left_out_however_long_they_are(name, frame):
+    body = f'<h1>title</h1>{PARAGRAPHS}<div class="{name}">{comments(12)}</div>'
+    assert main_text(page(MENU + frame.format(body)))[0] == " ".join(["title", *LONG])
+
+
+@pytest.mark.parametrize("part", ["<aside>{}</aside>", "<footer>{}</footer>", "<form>{}</form>", "<nav>{}</nav>", '<section role="complementary">{}</section>'])
+def test_long_elements_that_are_no_article_are_left_out(part):
+    for frame in ("<main>{}</main>", "<article>{}</article>", "<div>{}</div>"):
+        body = f"<h1>title</h1>{PARAGRAPHS}{part.format(comments(12))}"
+        assert main_text(page(frame.format(body)))[0] == " ".join(["title", *LONG])
+
+
+def test_comments_as_articles_without_an_article():
+    body = f'<div><h1>title</h1>{PARAGRAPHS}</div><div class="comments">' + "<article><p>" + prose(900) + "</p></article>" * 5 + "</div>"
+    assert main_text(page(body))[0] == " ".join(["title", *LONG])
+
+
+@pytest.mark.parametrize("name", ["search-engines", "no-sidebar", "content-with-sidebar", "main-content", "share-price", "nature-notes", "shadow", "header-image"])
+def test_names_that_say_something_else_mark_nothing(name):
+    body = f'<article><h1>title</h1>{PARAGRAPHS}<section class="{name}"><p>{prose(120)}</p></section></article>'
+    assert main_text(page(body))[0] == " ".join(["title", *LONG, prose(120)])
+
+
+def test_ratios_decide_inside_a_landmark_too(spark):
+    """Boxes of links around the text of an article, without any name, are told from it by their ratio, in the query as well."""
+    from traitloom.llm.html_text import extract
+
+    links = "".join(f"<div><a href=x{i}>more to read number {i}</a></div>" for i in range(6))
+    body = f"<article><div>{links}</div><div><h1>title</h1></div><div>{PARAGRAPHS}</div><div>{links}</div><div>closing line</div></article>"
+    want = " ".join(["title", *LONG, "closing line"])
+    assert main_text(page(body))[0] == want
+    rows = spark.createDataFrame([(1, page(body))], "page_id long, html string")
+    found = extract(rows).first()
+    assert found["text"] == want and found["n_lines"] > found["n_content_lines"] == 6
+
+
+def test_short_article_beside_a_longer_advert():
+    body = f'<div class="ad">{prose(200)}</div><article><h1>Of.</h1></article><footer>{prose(100)}</footer>'
+    assert main_text(page(body))[0] == "Of."
+
+
+def test_very_long_and_repeated_pages(spark):
+    from traitloom.llm.html_text import extract
+
+    long = page("<nav><a href=x>home</a></nav><article>" + "".join(f"<p>{prose(300)}</p>" for _ in range(5_000)) + "</article>")
+    rows = [(1, long, "x"), (1, long, "x"), (2, None, "y"), (2, None, "y")]
+    found = extract(spark.createDataFrame(rows, "page_id long, html string, TEXT string")).collect()
+    assert sorted(len(r["text"]) for r in found) == [0, 0, *[len(" ".join([prose(300)] * 5_000))] * 2]

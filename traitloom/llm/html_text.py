@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
@@ -28,23 +29,22 @@ LANDMARKS = frozenset(("article", "main"))
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Elements that can hold no article; one that begins in them stands in something that was not closed.
 CONTROLS = frozenset("button select textarea".split())
-#: Class, id and role names that mark a part of the page that is not its article: whole names, compounds included.
-PART_NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion menu nav navbar "
-    "navigation breadcrumb breadcrumbs sidebar aside footer masthead toolbar notice notices cookie cookies consent gdpr popup "
-    "modal overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments "
-    "commentlist disqus replies respond pagination pager widget contentinfo complementary search "
-    "ad-banner ad-box ad-container ad-slot ad-unit ad-wrapper adsbygoogle banner-ad main-menu main-nav main-navigation nav-bar "
-    "nav-links nav-menu page-navigation post-navigation primary-navigation site-nav site-navigation breadcrumb-nav "
-    "breadcrumb-trail left-sidebar primary-sidebar right-sidebar secondary-sidebar sidebar-left sidebar-primary sidebar-right "
-    "sidebar-secondary widget-area page-footer site-footer footer-nav footer-widgets cookie-banner cookie-bar cookie-consent "
-    "cookie-notice gdpr-banner newsletter-form newsletter-signup login-form signup-form share-buttons share-links sharing-buttons "
-    "social-buttons social-icons social-links social-media social-share related-articles related-links related-posts "
-    "recommended-articles comment-form comment-list comment-respond comments-area comments-section search-bar search-box "
-    "search-form searchbar searchbox searchform".split()
+# Words of class, id and role names for parts of a page that are not its article, in the singular.
+PART_WORDS = frozenset(
+    "ad adv advert advertisement advertising adsense adsbygoogle aside banner breadcrumb captcha comment commentlist complementary "
+    "consent contentinfo cookie dialog disqus donate footer gdpr login masthead menu menubar modal nav navbar navigation newsletter "
+    "notice notification outbrain overlay pager pagination paywall popup promo promotion recommendation recommended related "
+    "reply replies respond search share sharing sidebar signup social sponsor sponsored subscribe subscription taboola teaser "
+    "toolbar trending widget".split()
 )
-#: Names by which an article element itself is not the article of the page.
-ARTICLE_NAMES = frozenset("comment comments reply replies teaser teasers".split())
+#: Words that say where a part stands or what shape it has, and mark nothing by themselves.
+SHAPE_WORDS = frozenset(
+    "area article bar block bottom box button card column container content element field footer form frame global group header "
+    "holder icon inner item layer left link list main media module outer page panel post primary region right row secondary "
+    "section site slot story strip tag text thread title top trail unit user wrap wrapper".split()
+)
+#: Words by which an article element itself is not the article of the page.
+ARTICLE_WORDS = frozenset("comment reply replies teaser".split())
 
 #: Standard deviation of the smoothing kernel in lines, and how far it reaches.
 SIGMA, REACH = 1.0, 2
@@ -75,6 +75,8 @@ class PageEvents(HTMLParser):
         #: Containers that are no part of the article, by element and by class, id or role.
         self.by_element: set[int] = set()
         self.by_name: set[int] = set()
+        #: The class, id and role of each container as written, to find those of the same name.
+        self.labels: list[str] = [""]
         # name, unseen, node
         self.stack: list[tuple[str, bool, int]] = [("", False, 0)]
 
@@ -105,6 +107,7 @@ class PageEvents(HTMLParser):
         if _is_part(tag, attrs):
             self.by_name.add(node)
         self.names.append(tag)
+        self.labels.append(" ".join(v for k, v in attrs if v and k in ("class", "id", "role")))
         self.parents.append(parent)
         self.landmarks.append(landmark)
         self.stack.append((tag, unseen or tag in UNSEEN, node))
@@ -132,11 +135,26 @@ class PageEvents(HTMLParser):
                 self.link_chars += len(data)
 
 
+_WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+
+
 def _is_part(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    """Whether a class, id or role names a part that is not the article.
+
+    A name is cut into words (at marks, digits and capitals). It names a part if all its words do but those of place and shape:
+    ``user-comments``, ``cookieBanner__text`` and ``related-content`` are such names, ``search-engines``, ``no-sidebar`` and
+    ``content-with-sidebar`` say something else. An article element is judged by ``ARTICLE_WORDS`` alone.
+    """
     if tag in ("body", "html", "main"):
         return False
-    named = " ".join(value for name, value in attrs if value and name in ("class", "id", "role"))
-    return bool(named) and not (ARTICLE_NAMES if tag == "article" else PART_NAMES).isdisjoint(named.lower().replace("_", "-").split())
+    parts = ARTICLE_WORDS if tag == "article" else PART_WORDS
+    for attribute, value in attrs:
+        for name in (value or "").split() if attribute in ("class", "id", "role") else ():
+            words = [w.lower() for w in _WORD.findall(name)]
+            words = [w if w in parts or w in SHAPE_WORDS or not w.endswith("s") else w[:-1] for w in words]
+            if any(w in parts for w in words) and all(w in parts or w in SHAPE_WORDS for w in words):
+                return True
+    return False
 
 
 def events_of(html: str) -> PageEvents:
@@ -147,29 +165,56 @@ def events_of(html: str) -> PageEvents:
     return events
 
 
-def excluded_nodes(page: PageEvents, by_name: bool = True) -> list[bool]:
-    """Whether each container is, or stands in, a part of the page that is not its article.
+def excluded_nodes(page: PageEvents, lifted: frozenset[int] = frozenset()) -> list[bool]:
+    """Whether each container is, or stands in, a part of the page that is not its article, however much text it holds.
 
-    A mark counts only on a container that has at most half of the page's text, text in links not counted: what holds more is the
-    page, whatever it is called, or was never closed. Only controls and their like are left out at any length. An article
-    in a part that is left out is left out too; a main element never is.
+    Marks on ``lifted`` containers do not count. An article in a part that is left out is left out too, save in a control, which
+    cannot hold one; a main element never is.
     """
-    text = [0] * len(page.parents)
-    for line in page.lines:
-        text[line.node] += len(line.text) - line.link_chars
-    for node in range(len(text) - 1, 0, -1):
-        text[page.parents[node]] += text[node]
-    marks = page.by_element | page.by_name if by_name else page.by_element
-    part, control = [False] * len(text), [False] * len(text)
-    for node in range(1, len(text)):
+    n = len(page.parents)
+    part, control = [False] * n, [False] * n
+    for node in range(1, n):
         parent, tag = page.parents[node], page.names[node]
         if tag == "main":
             continue
         control[node] = tag in CONTROLS or (control[parent] and tag != "article")
-        part[node] = part[parent] or (node in marks and tag not in CONTROLS and 2 * text[node] <= text[0])
+        marked = (node in page.by_element or node in page.by_name) and tag not in CONTROLS
+        part[node] = part[parent] or (marked and node not in lifted)
     return [a or b for a, b in zip(part, control)]
 
 
+def _plain(line: Line) -> bool:
+    """Not mostly links."""
+    return 2 * line.link_chars < len(line.text)
+
+
+def candidates_of(page: PageEvents, smooth: np.ndarray) -> list[int]:
+    """Lines that are in no part that is left out.
+
+    If these hold nothing but links, a container that was never closed, or that has the name of a part, holds the article: the
+    marks of the containers around the densest other line are lifted, and those of the same name elsewhere with them.
+    """
+    lines, lifted = page.lines, frozenset()
+    while True:
+        excluded = excluded_nodes(page, lifted)
+        found = [i for i, line in enumerate(lines) if not excluded[line.node]]
+        if any(_plain(lines[i]) for i in found):
+            return found
+        around = []
+        for i in sorted((i for i in range(len(lines)) if _plain(lines[i])), key=lambda i: -smooth[i]):
+            node, around = lines[i].node, []
+            while node:
+                around.append(node)
+                node = page.parents[node]
+            marked = [n for n in around if n not in lifted and (n in page.by_element or n in page.by_name)]
+            if page.names[lines[i].node] not in NOT_CONTENT and marked:
+                same = {page.labels[n] for n in marked if n in page.by_name}
+                lifted = lifted | set(marked) | {n for n in page.by_name if page.labels[n] in same}
+                break
+        else:
+            return found
+
+
 def smoothed(ratios: np.ndarray) -> np.ndarray:
     """Gaussian smoothing over neighbouring lines; beyond either end there is nothing."""
     offsets = np.arange(-REACH, REACH + 1)
@@ -195,29 +240,29 @@ def threshold(values: np.ndarray) -> float:
 def content_lines(page: PageEvents) -> list[Line]:
     """The lines of the content.
 
-    Lines inside menus, adverts and the like (``excluded_nodes``) are never content; if that leaves nothing, only the elements
-    say what is none, not the names. If the page has article or main elements, all their other
-    lines are content and nothing outside them is. Else every line has its text-to-tag ratio, text in links not counted;
-    ratios are smoothed and cut in two clusters, and the lines of the high one that are not mostly links are dense. Content
-    are all lines from the first dense line to the last, and the whole of every container that holds one itself. A line
-    before or after them (a title, a closing line, a short section) is content too unless it is clearly apart, the
-    text of its innermost container being links for the most part; lines right in a container around the dense ones
-    are judged each for itself. If no candidate is dense, the one with the highest smoothed ratio stands for it.
+    Every line of the page has its text-to-tag ratio, text in links not counted; ratios are smoothed over neighbouring lines and
+    cut in two clusters. Candidates are the lines outside menus, adverts, comments and the like (``candidates_of``); where some
+    of them stand in article or main elements, only those do, for a landmark is where the article is looked for.
+
+    Candidates of the high cluster that are not mostly links are dense. Content are all candidates from the first dense line to
+    the last, and the whole of every container that holds one itself. A candidate before or after them (a title, a closing
+    line, a short section) is content too unless it is clearly apart, the text of its innermost container being links for the
+    most part; lines right in a container around the dense ones are judged each for itself. If no candidate is dense, the one
+    with the highest smoothed ratio stands for it.
     """
     lines = page.lines
-    excluded = excluded_nodes(page)
-    candidates = [i for i, line in enumerate(lines) if not excluded[line.node]]
-    if not candidates:
-        excluded = excluded_nodes(page, by_name=False)
-        candidates = [i for i, line in enumerate(lines) if not excluded[line.node]]
-    if any(page.landmarks[lines[i].node] for i in candidates):
-        return [lines[i] for i in candidates if page.landmarks[lines[i].node]]
-    if not candidates:
+    if not lines:
         return []
     ratios = np.array([(len(line.text) - line.link_chars) / (1 + line.tags) for line in lines], dtype=float)
     smooth = smoothed(ratios)
+    candidates = candidates_of(page, smooth)
+    landmarks = [i for i in candidates if page.landmarks[lines[i].node]]
+    if any(_plain(lines[i]) for i in landmarks):
+        candidates = landmarks
+    if not candidates:
+        return []
     high = smooth >= threshold(smooth)
-    dense = [i for i in candidates if high[i] and 2 * lines[i].link_chars < len(lines[i].text)]
+    dense = [i for i in candidates if high[i] and _plain(lines[i])]
     if not dense:
         dense = [max(candidates, key=lambda i: smooth[i])]
     whole = {lines[i].node for i in dense}
