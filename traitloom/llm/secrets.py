@@ -40,27 +40,59 @@ def _characters(text: Column) -> Column:
     return F.filter(F.split(text, ""), lambda c: c != "")
 
 
+#: Hits that are worked on together. A step copies what it has found so far, so long lists are cut in blocks.
+BLOCK = 256
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _blocks(items: Column, work) -> Column:
+    """``work(block)`` for every ``BLOCK`` consecutive elements, as an array."""
+    count = F.ceil(F.size(items) / BLOCK).cast("int")
+    numbers = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(numbers, lambda b: work(F.slice(items, b * BLOCK + 1, F.lit(BLOCK))))
+
+
+def _running(values: Column, add) -> Column:
+    """``[0, add(0, v1), add(add(0, v1), v2), ...]``, one element more than there are values; for short lists."""
+    start = F.array(F.lit(0))
+    return F.aggregate(values, start, lambda line, v: F.concat(line, F.array(add(F.element_at(line, -1), v))))
+
+
+def _places(lengths: Column, add) -> Column:
+    """``_running`` for lists of any length: within blocks, then over the blocks. What is copied grows with the list."""
+
+    def joined(blocks: Column) -> Column:
+        ends = _running(F.transform(blocks, lambda line: F.element_at(line, -1)), add)
+        shifted = F.zip_with(blocks, F.slice(ends, 1, F.size(blocks)), lambda line, before: F.transform(line, lambda v: add(before, v)))
+        inner = F.flatten(F.transform(shifted, lambda line: F.slice(line, 1, F.size(line) - 1)))
+        return F.concat(inner, F.array(F.element_at(ends, -1)))
+
+    return _let(_let(lengths, lambda whole: _blocks(whole, lambda block: _running(block, add))), joined)
+
+
 def _matches(text: Column, pattern: str, kept) -> Column:
     """``array<struct<start, end>>`` in code points of the matches for which ``kept(match)`` holds.
 
     The pieces between the matches and the matches themselves alternate, so running lengths are the positions: both
-    are read once, and a text of any length is handled whole.
+    are read once, and a text of any length, with any number of matches, is handled whole.
     """
     gaps = F.split(text, pattern, -1)
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(NO_SPANS).alias("spans"))
+    lengths = F.zip_with(gaps, hits, lambda gap, hit: F.length(gap) + F.coalesce(F.length(hit), F.lit(0)))
+    ends = _places(lengths, lambda at, n: at + n)
 
-    def step(state: Column, piece: Column) -> Column:
-        begin = state["at"] + F.length(piece["gap"])
-        end = begin + F.coalesce(F.length(piece["hit"]), F.lit(0))
-        spans = F.when(
-            F.coalesce(kept(piece["hit"]), F.lit(False)),
-            F.concat(state["spans"], F.array(F.struct(begin.alias("start"), end.alias("end")))),
-        ).otherwise(state["spans"])
-        return F.struct(end.alias("at"), spans.alias("spans"))
+    def spans(both: Column) -> Column:
+        hit_ends = F.slice(both["ends"], 2, F.size(both["hits"]))
+        found = F.zip_with(
+            both["hits"], hit_ends, lambda hit, end: F.when(kept(hit), F.struct((end - F.length(hit)).alias("start"), end.alias("end")))
+        )
+        return F.filter(found, lambda span: span.isNotNull())
 
-    return F.aggregate(pieces, start, step, lambda state: state["spans"])
+    return _let(F.struct(hits.alias("hits"), ends.alias("ends")), spans)
 
 
 def rule_spans(text: Column, kind: str) -> Column:
@@ -168,20 +200,51 @@ def span_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def merged(spans: Column) -> Column:
+    """Spans in order of their starts, put together where they overlap: ``array<struct<start, end>>``."""
+
+    def put(found: Column) -> Column:
+        # How far the spans before reach; a span that begins at or behind that is the first of a run.
+        before = F.slice(found["reach"], 1, F.size(found["spans"]))
+        starts = F.filter(F.zip_with(found["spans"], before, lambda s, r: F.when(s["start"] >= r, s["start"])), lambda x: x.isNotNull())
+        # A run ends where the spans up to the next run's first have reached.
+        firsts = F.zip_with(found["spans"], before, lambda s, r: s["start"] >= r)
+        ends = F.filter(F.zip_with(F.slice(firsts, 2, F.size(firsts)), F.slice(before, 2, F.size(before)), lambda f, r: F.when(f, r)), lambda x: x.isNotNull())
+        ends = F.concat(ends, F.array(F.element_at(found["reach"], -1)))
+        return F.zip_with(starts, F.slice(ends, 1, F.size(starts)), lambda a, b: F.struct(a.alias("start"), b.alias("end")))
+
+    reach = _places(F.transform(spans, lambda s: s["end"]), lambda at, end: F.greatest(at, end))
+    return _let(F.struct(spans.alias("spans"), reach.alias("reach")), put)
+
+
 def redact(docs: DataFrame, text: str = "text", spans: str = "secrets", mask: str = "[SECRET]") -> DataFrame:
-    """The text with every span replaced by ``mask``; overlapping spans become one mask. NULL stays NULL."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    """The text with every span replaced by ``mask``; overlapping spans become one mask. NULL stays NULL.
+
+    The text is cut at every ``BLOCK``-th span first and at the spans of a block then, for finding a place in a text takes as long
+    as the text before it.
+    """
     whole = ref(text)
 
-    def step(state: Column, s: Column) -> Column:
-        fresh = F.concat(state["out"], F.substring(whole, state["at"] + 1, s["start"] - state["at"]), F.lit(mask))
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"),
-            F.when(s["start"] >= state["at"], fresh).otherwise(state["out"]).alias("out"),
+    def gaps(part: Column, block: Column, first: Column) -> Column:
+        """What stands before each span of a block, ``part`` being the text from ``first`` to the end of the last one."""
+        starts = F.concat(F.array(first), F.transform(block, lambda s: s["end"]))
+        return F.array_join(
+            F.zip_with(block, F.slice(starts, 1, F.size(block)), lambda s, a: F.concat(F.substring(part, a - first + 1, s["start"] - a), F.lit(mask))), ""
         )
 
-    done = F.aggregate(ref(spans), start, step, lambda st: F.concat(st["out"], F.substring(whole, st["at"] + 1, F.length(whole))))
-    return docs.withColumn(text, F.when(F.size(ref(spans)) > 0, done).otherwise(whole))
+    def cut(runs: Column) -> Column:
+        def work(blocks: Column) -> Column:
+            firsts = F.concat(F.array(F.lit(0)), F.transform(blocks, lambda block: F.element_at(block, -1)["end"]))
+
+            def piece(block: Column, first: Column) -> Column:
+                return _let(F.substring(whole, first + 1, F.element_at(block, -1)["end"] - first), lambda part: gaps(part, block, first))
+
+            texts = F.zip_with(blocks, F.slice(firsts, 1, F.size(blocks)), piece)
+            return F.concat(F.array_join(texts, ""), F.substring(whole, F.element_at(firsts, -1) + 1, F.length(whole)))
+
+        return _let(_blocks(runs, lambda block: block), work)
+
+    return docs.withColumn(text, F.when(F.size(ref(spans)) > 0, _let(merged(ref(spans)), cut)).otherwise(whole))
 
 
 def random_samples(spark: SparkSession, n: int = MAX_SAMPLES) -> DataFrame:
@@ -215,6 +278,54 @@ def word_samples(docs: DataFrame, text: str = "text", n: int = MAX_SAMPLES, text
     return kept.select(F.lit(0).alias("label"), "text")
 
 
+def identifier_samples(words: DataFrame) -> DataFrame:
+    """Ordinary identifiers (label 0) made of ordinary words: snake and camel case, constants, paths, hyphens, with numbers.
+
+    Words are taken three at a time, by their hashes; a group is as small whatever the number of words.
+    """
+    groups = words.groupBy(F.pmod(F.xxhash64("text"), F.lit(MAX_SAMPLES // 3)).alias("g")).agg(F.sort_array(F.collect_list(F.lower("text"))).alias("w"))
+    w, number = F.slice("w", 1, 4), F.pmod(F.xxhash64("w"), F.lit(10_000)).cast("string")
+    camel = F.array_join(F.transform(w, lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.substring(x, 2, 1_000))), "")
+    forms = [
+        F.array_join(w, "_"),
+        F.upper(F.array_join(w, "_")),
+        F.array_join(w, "-"),
+        F.array_join(w, "/"),
+        camel,
+        F.concat(F.lower(F.substring(camel, 1, 1)), F.substring(camel, 2, 1_000)),
+        F.concat(F.array_join(w, "_"), F.lit("_"), number),
+        F.concat(F.lit("/v"), F.substring(number, 1, 1), F.lit("/"), F.array_join(w, "/"), F.lit("/"), number),
+        F.concat(camel, number),
+        F.concat(F.lit("--"), F.array_join(w, "-"), F.lit("="), number),
+    ]
+    return groups.select(F.lit(0).alias("label"), F.explode(F.array(*forms)).alias("text"))
+
+
+def pattern_samples(spark: SparkSession, n: int = MAX_SAMPLES // 4) -> DataFrame:
+    """``n`` labelled strings (label 0) that are long but no keys: numbers, dates, runs, repeats, sequences of few letters."""
+    i = F.col("id")
+    digits = F.concat(*[F.lpad(F.pmod(F.xxhash64(i, F.lit(k)), F.lit(10**9)).cast("string"), 9, "0") for k in range(4)])
+    hexes = F.sha2(F.concat_ws("/", F.lit("p"), i), 256)
+    few = [F.translate(F.substring(hexes, 1, 40), "0123456789abcdef", letters * (16 // len(letters))) for letters in ("ACGT", "01", "acgt", "-=")]
+    date = F.date_format(F.date_add(F.lit("2000-01-01").cast("date"), F.pmod(i, F.lit(9_000)).cast("int")), "yyyy-MM-dd")
+    char = F.substring(F.lit(ALPHABET), (F.pmod(i, F.lit(len(ALPHABET))) + 1).cast("int"), F.lit(1))
+    other = F.substring(F.lit(ALPHABET), (F.pmod(i * 7 + 3, F.lit(len(ALPHABET))) + 1).cast("int"), F.lit(1))
+    forms = [
+        digits,
+        F.concat(date, F.lit("/"), F.substring(digits, 1, 6), F.lit("-"), F.substring(digits, 7, 6)),
+        F.concat(F.translate(date, "-", ""), F.lit("_"), F.substring(digits, 1, 14)),
+        F.repeat(char, 40),
+        F.repeat(F.concat(char, other), 20),
+        *few,
+    ]
+    form = F.element_at(F.array(*forms), (F.pmod(F.xxhash64(i, F.lit("form")), F.lit(len(forms))) + 1).cast("int"))
+    return spark.range(n).select(F.lit(0).alias("label"), form.alias("text"))
+
+
 def fit_on(docs: DataFrame, text: str = "text") -> list[float]:
-    """The model of the scan: generated random strings against the longest ordinary words of the texts themselves."""
-    return fit(random_samples(docs.sparkSession).unionByName(word_samples(docs, text)))
+    """The model of the scan: generated random strings against ordinary words of the texts themselves, identifiers made of
+    them, and long strings that are no keys."""
+    spark = docs.sparkSession
+    words = word_samples(docs, text)
+    ordinary = words.unionByName(identifier_samples(words)).unionByName(pattern_samples(spark))
+    return fit(random_samples(spark).unionByName(ordinary))
