@@ -10,7 +10,7 @@ from traitloom.functions.numeric import to_number
 from traitloom.functions.recode import override_equal, override_in
 from traitloom.functions.sources import prefer, prefer_with_source
 from traitloom.functions.text import detect_first, detect_or_else, source_label, title_case
-from traitloom.operators.columns import drop_strict, insert_at, ref, relocate, rename_strict, require
+from traitloom.operators.columns import drop_strict, ref, rename_strict, require
 from traitloom.operators.filters import keep_flagged
 from traitloom.operators.joins import left_enrich_all
 from traitloom.operators.reshape import relabel_columns
@@ -20,6 +20,7 @@ from traitloom.plans.spec import (
     DEFAULT_SPEC,
     GROWTH_HABIT_SOURCE,
     GROWTH_HABIT_SPECIES_SOURCE,
+    INTEGRATED_COLUMNS,
     NUMBER_COLUMNS,
     NUMBER_NAME_FIXES,
     NUMBER_PREFIX,
@@ -133,34 +134,18 @@ def integrate(
         GROWTH_HABIT_SPECIES_SOURCE,
         source_label(F.col("Growth_habit"), GROWTH_HABIT_SOURCE),
     )
-    df = insert_at(df, "Growth_habit_REF", habit_reference, after="Growth_habit")
-    df = relocate(
-        df,
-        [
-            ("Lifespan_years", "Seed_Maturation_Phenology_REF"),
-            ("Lifespan_years_REF", "Lifespan_years"),
-            ("Seed_mass_mg", "Lifespan_years_REF"),
-            ("Seed_mass_REF", "Seed_mass_mg"),
-            ("Flowering_season_REF", "Flowering_season"),
-            ("Seed_bank_REF", "Seed_bank"),
-            ("Fleshy_fruit", "Seed_bank_REF"),
-            ("Fleshy_fruit_REF", "Fleshy_fruit"),
-            ("Dispersal_syndrome", "Fleshy_fruit_REF"),
-            ("Dispersal_syndrome_REF", "Dispersal_syndrome"),
-        ],
-    )
-    pollinator = detect_or_else(F.col("Pollinator_vector"), "wind", "animal")
-    dispersal = detect_first(F.col("Seed_dispersal_vector"), contains="wind", equals="water", otherwise="animal")
-    df = insert_at(df, "Pollinator_code", pollinator, after="Pollinator_vector")
-    df = insert_at(df, "Seed_dispersal_code", dispersal, after="Seed_dispersal_vector")
-
     common = F.col("common")
     for species, name in spec.common_names.items():
         common = override_equal(F.col("species"), [species], name, common)
-    return df.withColumns(
-        {
-            "Shade_tolerance": title_case(F.col("Shade_tolerance")),
-            "Flowering_season": blank_to_null(F.col("Flowering_season")),
-            "common": common,
-        }
-    )
+    made = {
+        "Growth_habit_REF": habit_reference,
+        "Pollinator_code": detect_or_else(F.col("Pollinator_vector"), "wind", "animal"),
+        "Seed_dispersal_code": detect_first(
+            F.col("Seed_dispersal_vector"), contains="wind", equals="water", otherwise="animal"
+        ),
+        "Shade_tolerance": title_case(F.col("Shade_tolerance")),
+        "Flowering_season": blank_to_null(F.col("Flowering_season")),
+        "common": common,
+    }
+    beyond = [name for name in df.columns if name not in INTEGRATED_COLUMNS]
+    return df.select(*[(made[name] if name in made else ref(name)).alias(name) for name in INTEGRATED_COLUMNS], *map(ref, beyond))

@@ -254,6 +254,24 @@ CURATED_COLUMNS = (
     *ATTRIBUTE_NAMES,
 )
 
+# Columns of the integrated table, in order. Columns beyond these follow behind them.
+INTEGRATED_COLUMNS = (
+    "species", "common", *SITE_NAMES.values(),
+    "Seed_development_1_2or3yrs", "Seed_development_1_2or3yrs_REF",
+    "Seed_dispersal_vector", "Seed_dispersal_code",
+    "Pollinator_vector", "Pollinator_code",
+    "Mycorrhiza_AM_EM", "Needleleaf_Broadleaf", "Deciduous_Evergreen_yrs",
+    "Seed_Maturation_Phenology", "Seed_Maturation_Phenology_REF",
+    "Lifespan_years", "Lifespan_years_REF",
+    "Seed_mass_mg", "Seed_mass_REF",
+    "Seed_Maturation_Code", "Sexual_system", "Sexual_system_REF",
+    "Shade_tolerance", "Growth_form", "Growth_form_REF", "Growth_habit", "Growth_habit_REF",
+    "Flowering_season", "Flowering_season_REF",
+    "Seed_bank", "Seed_bank_REF",
+    "Fleshy_fruit", "Fleshy_fruit_REF",
+    "Dispersal_syndrome", "Dispersal_syndrome_REF",
+)
+
 
 @dataclass(frozen=True)
 class TraitSpec:
