@@ -1,0 +1,48 @@
+"""Pieces of a collapsed text: together they are the text, each within its bound, cut by the lengths."""
+
+import random
+
+import pytest
+
+from traitloom.operators.aggregates import collapse_text
+from traitloom.operators.long_text import collapse_long
+
+
+def texts(pieces, keys, sep="; "):
+    found = {}
+    for r in pieces.collect():
+        found.setdefault(tuple(r[k] for k in keys), []).append((r["piece"], r["text"]))
+    assert all(len({p for p, _ in v}) == len(v) for v in found.values())
+    return {k: sep.join(t for _, t in sorted(v)) for k, v in found.items()}, found
+
+
+@pytest.mark.parametrize("piece_bytes", [1, 7, 60, 1 << 20])
+def test_pieces_are_the_text(spark, piece_bytes):
+    rnd = random.Random(piece_bytes)
+    data = [(rnd.choice(["a", "hot", "hot", None]), rnd.choice([1, None]), rnd.choice(["x", "yy", "é" * 9, None, "", "same", "same"])) for _ in range(400)]
+    df = spark.createDataFrame(data, "k string, j int, v string").repartition(5)
+    want = {(r["k"], r["j"]): r["value_entry"] for r in collapse_text(df, ["k", "j"], "v").collect()}
+    got, pieces = texts(collapse_long(df, ["k", "j"], "v", piece_bytes=piece_bytes), ["k", "j"])
+    assert got == want
+    longest = max(len(t.encode()) for v in pieces.values() for _, t in v)
+    assert longest <= 2 * piece_bytes + 20
+    assert (piece_bytes < 1000) == (max(len(v) for v in pieces.values()) > 1)
+
+
+def test_order_by_another_column_and_distinct(spark):
+    data = [("a", i % 50, f"v{99 - i % 50}") for i in range(200)] + [("b", 1, "only")]
+    df = spark.createDataFrame(data, "k string, o int, v string").repartition(4)
+    want = {(r["k"],): r["value_entry"] for r in collapse_text(df, ["k"], "v", order_by=["o"]).collect()}
+    assert texts(collapse_long(df, ["k"], "v", order_by=["o"], piece_bytes=50), ["k"])[0] == want
+    once = texts(collapse_long(df, ["k"], "v", order_by=["o"], piece_bytes=50, distinct=True), ["k"])[0]
+    assert once == {("a",): "; ".join(f"v{99 - i}" for i in range(50)), ("b",): "only"}
+
+
+def test_an_entry_that_occurs_very_often_is_cut_too(spark):
+    df = spark.createDataFrame([("a", "word")], "k string, v string").crossJoin(spark.range(5_000)).select("k", "v")
+    got, pieces = texts(collapse_long(df, ["k"], "v", piece_bytes=600), ["k"])
+    assert got == {("a",): "; ".join(["word"] * 5_000)} and len(pieces[("a",)]) == 50
+
+
+def test_no_rows(spark):
+    assert collapse_long(spark.createDataFrame([], "k string, v string"), ["k"], "v").count() == 0

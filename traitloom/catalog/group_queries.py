@@ -14,6 +14,7 @@ from traitloom.operators.aggregates import (
     mean_by,
     unique_projected,
 )
+from traitloom.operators.long_text import collapse_long
 from traitloom.operators.profile import (
     frequency_profile,
     frequency_profile_by_flag,
@@ -132,6 +133,28 @@ def rsh_collapse_wide(spark, sf_dir):
     return collapse_wider(_entries(spark, sf_dir), "entity", "attribute", "value", ["flag", "ship_month", "NA"])
 
 
+@query(
+    "agg_collapse_long",
+    """WITH lines AS (
+        SELECT l_returnflag AS mode, concat(coalesce(l_linestatus, ''), ' ', CAST(l_orderkey AS STRING), '.', CAST(l_linenumber AS STRING)) AS v
+        FROM lineitem
+    ), counted AS (
+        SELECT mode, v, count(*) AS n FROM lines GROUP BY mode, v
+    ), placed AS (
+        SELECT mode, v, n, sum(n * (strlen(v) + 2)) OVER (PARTITION BY mode ORDER BY v ROWS UNBOUNDED PRECEDING) AS upto FROM counted
+    )
+    SELECT mode, CAST(floor((upto - 1) / 20000) AS BIGINT) AS piece,
+    string_agg(array_to_string([v FOR x IN range(n)], '; '), '; ' ORDER BY v) AS text FROM placed GROUP BY 1, 2""",
+)
+def agg_collapse_long(spark, sf_dir):
+    """Three groups hold all lines; pieces of 20 kB."""
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_returnflag AS mode",
+        "concat(coalesce(l_linestatus, ''), ' ', CAST(l_orderkey AS STRING), '.', CAST(l_linenumber AS STRING)) AS v",
+    )
+    return collapse_long(lines, ["mode"], "v", piece_bytes=20_000)
+
+
 _AS_TEXT = "array_join(transform(array_sort(map_entries(other)), e -> concat(e.key, '=', e.value)), '|')"
 
 

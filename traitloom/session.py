@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import pathlib
+import tempfile
+import zipfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -29,6 +33,20 @@ CLUSTER_SETTINGS = {
 }
 
 
+def ship_package(spark: SparkSession) -> str:
+    """Hands this package to the Python workers of the executors, where it is not installed; returns the archive's name.
+
+    ``spark-submit --py-files`` with the same archive does as well. The file is read by the driver only, which passes it on.
+    """
+    here = pathlib.Path(__file__).parent
+    archive = f"{tempfile.mkdtemp(prefix='traitloom-')}/{here.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(here.rglob("*.py")):
+            out.write(file, file.relative_to(here.parent))
+    spark.sparkContext.addPyFile(archive)
+    return archive
+
+
 def local_session(name: str, cores: int = 8, memory: str = "8g", **settings: str) -> SparkSession:
     """Local session for tests and benchmarks; more settings by name, ``__`` standing for a dot."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(name)
