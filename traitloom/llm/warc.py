@@ -15,6 +15,8 @@ from traitloom.llm.common import ref
 
 # Fixed values of the format (WARC 1.1, ISO 28500).
 VERSION = "WARC/1.1"
+#: Records of a file at most, bytes of an ordinary file and of any file, bytes of a record's headers, about.
+RECORDS, FILE_BYTES, MOST_BYTES, HEAD_BYTES = 20_000, 256 << 20, 1 << 30, 1_024
 REVISIT_PROFILE = "http://netpreservation.org/warc/1.1/revisit/identical-payload-digest"
 _HEX_BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -86,7 +88,16 @@ def _uri(key: Column) -> Column:
     return F.concat(F.lit("<urn:record:"), F.coalesce(key.cast("string"), F.lit("")), F.lit(">"))
 
 
-def write_archives(records: DataFrame, path: str, records_per_file: int = 20_000) -> str:
+def records_per_file(sizes: DataFrame, typical: int = FILE_BYTES, most: int = MOST_BYTES) -> int:
+    """How many records a file may hold, by their ``payload_bytes``: ``typical`` bytes of average ones, and never more than
+    ``most`` bytes (unpacked, headers included), however large the records are that come together; one at least."""
+    found = sizes.agg(F.avg("payload_bytes").alias("mean"), F.max("payload_bytes").alias("largest")).first()
+    if found["largest"] is None:
+        return RECORDS
+    return max(1, min(RECORDS, int(typical // (found["mean"] + HEAD_BYTES)), most // (found["largest"] + HEAD_BYTES)))
+
+
+def write_archives(records: DataFrame, path: str, records_per_file: int = RECORDS) -> str:
     """WARC files (gzip) below ``path``, each record with fresh headers; a revisit has no block.
 
     Spark's text writer puts down one record per row and commits files as a whole, so a lost executor leaves no partial
@@ -245,7 +256,11 @@ def with_original(read: DataFrame) -> DataFrame:
 
 
 def deduplicate(pages: DataFrame, path: str, least_bytes: int = 0, **columns: str) -> DataFrame:
-    """Pages to deduplicated archives below ``path`` and back; returns what the archives say, without the payloads."""
-    write_archives(resolve_revisits(records_of(pages, **columns), least_bytes), path)
+    """Pages to deduplicated archives below ``path`` and back; returns what the archives say, without the payloads.
+
+    The lengths of the payloads are looked at first, so that a file is bounded in bytes: readers take a file as a whole.
+    """
+    records = records_of(pages, **columns)
+    write_archives(resolve_revisits(records, least_bytes), path, records_per_file(records.select("payload_bytes")))
     return with_original(read_archives(pages.sparkSession, path, keep_payload=False))
 
