@@ -3,9 +3,11 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from traitloom.catalog.views import curated as curated_view
 from traitloom.catalog.views import records as records_view
+from traitloom.plans import layout
 from traitloom.plans.branches import BRANCHES, record_branch
 from traitloom.plans.enrich import integrate
 from traitloom.plans.numbers import unmapped_numbers, wide_numbers
@@ -60,6 +62,28 @@ def test_tables_from_branches_are_those_of_the_jobs(spark, raw, curated, plain,
     assert folders <= {f"branch={b}" for b in BRANCHES} and len(folders) == len(BRANCHES)
 
 
+def test_stored_entries_give_the_same_tables(spark, raw, curated, plain, tmp_path):
+    out = run(spark, raw, curated, str(tmp_path / "out"), "2022-11-09", buckets=5)
+    for name, table in plain.items():
+        assert same(table, spark.read.schema(table.schema).parquet(f"{out[name]}/run_date=2022-11-09")), name
+
+
+def test_everything_behind_stored_entries_is_local(spark, tmp_path, capfd):
+    """The entries are exchanged when they are stored; pivots, lists and the join of the wide tables are not."""
+    records = records_view(spark, SF)
+    text = layout.store_text(records, str(tmp_path / "text"), 6)
+    numbers = layout.store_numbers(records, str(tmp_path / "numbers"), 6)
+    wide, means = layout.stored_wide_text(text), layout.stored_wide_numbers(numbers)
+    both = wide.hint("merge").join(means.withColumnRenamed("species", "s"), wide["species"] == F.col("s"), "full")
+    results = [wide, means, layout.stored_unmapped_text(text), layout.stored_unmapped_numbers(numbers), both]
+    for df in results:
+        df.explain("simple")
+        shown = capfd.readouterr().out
+        assert "Exchange" not in shown and "FileScan" in shown
+    species = wide_text(records).select("species").union(wide_numbers(records).select("species")).distinct()
+    assert both.count() == species.count() > 0
+
+
 def test_curated_csv_schema_and_aligned_references(spark, raw, plain, tmp_path):
     table = curated_view(spark, SF)
     curated = write_csv_blank(table, str(tmp_path / "curated"))

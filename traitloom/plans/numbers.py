@@ -60,6 +60,12 @@ def wide_numbers(eav: DataFrame, spec: TraitSpec = DEFAULT_SPEC) -> DataFrame:
     return mean_wider(_measurements(distinct, spec), "species", "trait_units", "value", spec.number_columns, unlisted="drop")
 
 
+def distinct_measurements(eav: DataFrame, spec: TraitSpec = DEFAULT_SPEC) -> DataFrame:
+    """``species, trait_units, value`` of the different raw rows that hold a usable number, with or without a column."""
+    rows = _number_records(eav, spec).distinct()
+    return _measurements(rows.withColumn(SPECIES, species_name(F.col("AccSpeciesName"))), spec)
+
+
 def unmapped_numbers(eav: DataFrame, spec: TraitSpec = DEFAULT_SPEC) -> DataFrame:
     """Means that have no column in the wide table, under the column name they would have had."""
     rows = _number_records(eav, spec).filter(~number_column(spec).isin(list(spec.number_columns))).distinct()

@@ -12,6 +12,14 @@ from pyspark.sql.types import StructType
 
 from traitloom.plans.branches import BRANCHES, NUMBER, NUMBER_OTHER, TEXT, TEXT_OTHER, record_branch
 from traitloom.plans.enrich import integrate
+from traitloom.plans.layout import (
+    store_numbers,
+    store_text,
+    stored_unmapped_numbers,
+    stored_unmapped_text,
+    stored_wide_numbers,
+    stored_wide_text,
+)
 from traitloom.plans.numbers import unmapped_numbers, wide_numbers
 from traitloom.plans.spec import CURATED_COLUMNS, DEFAULT_SPEC, TraitSpec, spec_from_json
 from traitloom.plans.stats import write_profiles
@@ -52,12 +60,14 @@ def run(
     curated_schema: StructType | None = None,
     aligned_references: bool = False,
     file_format: str = "parquet",
+    buckets: int = 0,
 ) -> dict[str, str]:
     """Raw records and curated table in, written tables out; returns their folders by name.
 
     ``rejects`` holds the raw lines that could not be read, ``accounts`` how many lines went where; neither stops the run. With a
     ``curated_schema`` the curated table is CSV. With a ``file_format`` of ``FILE_FORMATS`` the wide tables and the integrated
-    one are written once more, under ``out/files``.
+    one are written once more, under ``out/files``. With ``buckets`` the cleaned entries are stored in that many buckets by
+    species first, and everything behind them does without an exchange (``layout``).
     """
     if file_format not in ("parquet", *FILE_FORMATS):
         raise ValueError(f"file_format: {file_format!r} is neither 'parquet' nor one of {sorted(FILE_FORMATS)}")
@@ -65,14 +75,23 @@ def run(
     landed = land_raw(spark, raw_path, f"{out}/records", raw_schema, spec)
     part = landed.branches
     text_records, number_records = part[TEXT].unionByName(part[TEXT_OTHER]), part[NUMBER].unionByName(part[NUMBER_OTHER])
-    tables = {
-        "rejects": landed.rejects,
-        "accounts": accounts(spark, landed),
-        "wide_text": wide_text(text_records, spec),
-        "wide_numbers": wide_numbers(number_records, spec),
-        "unmapped_text": unmapped_text(part[TEXT_OTHER], spec),
-        "unmapped_numbers": unmapped_numbers(part[NUMBER_OTHER], spec),
-    }
+    tables = {"rejects": landed.rejects, "accounts": accounts(spark, landed)}
+    if buckets:
+        text_entries = store_text(text_records, f"{out}/entries/text", buckets, spec)
+        means = store_numbers(number_records, f"{out}/entries/numbers", buckets, spec)
+        tables |= {
+            "wide_text": stored_wide_text(text_entries, spec),
+            "wide_numbers": stored_wide_numbers(means, spec),
+            "unmapped_text": stored_unmapped_text(text_entries, spec),
+            "unmapped_numbers": stored_unmapped_numbers(means, spec),
+        }
+    else:
+        tables |= {
+            "wide_text": wide_text(text_records, spec),
+            "wide_numbers": wide_numbers(number_records, spec),
+            "unmapped_text": unmapped_text(part[TEXT_OTHER], spec),
+            "unmapped_numbers": unmapped_numbers(part[NUMBER_OTHER], spec),
+        }
     written = {name: write_snapshot(table, f"{out}/{name}", day) for name, table in tables.items()}
 
     def of_day(name: str, schema: StructType) -> DataFrame:
@@ -114,6 +133,7 @@ def main() -> None:
     parser.add_argument("--curated-schema", help="text file: names and types of the curated table's CSV columns")
     parser.add_argument("--spec", help="JSON file: fields of TraitSpec that differ from the defaults")
     parser.add_argument("--aligned-references", action="store_true", help="a value and its reference from the same source")
+    parser.add_argument("--buckets", type=int, default=0, help="store the cleaned entries in so many buckets by species")
     parser.add_argument("--file-format", default="parquet", choices=["parquet", *FILE_FORMATS])
     args = parser.parse_args()
     spec = DEFAULT_SPEC
@@ -131,6 +151,7 @@ def main() -> None:
         spec=spec,
         aligned_references=args.aligned_references,
         file_format=args.file_format,
+        buckets=args.buckets,
     )
     for name, path in run(spark, args.raw, args.curated, args.out, args.run_date, **options).items():
         print(f"{name}\t{path}")
