@@ -81,3 +81,14 @@ def test_lossless_csv_of_an_empty_table(spark, tmp_path):
     df = spark.createDataFrame([], "a int, b string")
     back = read_csv_lossless(spark, write_csv_lossless(df, str(tmp_path / "e")))
     assert back.schema == df.schema and back.count() == 0
+
+
+def test_intermediate_tables_can_be_dropped(spark, monkeypatch):
+    from traitloom.sources import scratch
+
+    monkeypatch.setattr(scratch, "_made", [])  # those of other tests stay
+    kept, unused = scratch.scratch_folder(spark, "kept"), scratch.scratch_folder(spark, "unused")
+    spark.range(5).write.parquet(kept)
+    assert spark.read.parquet(kept).count() == 5
+    assert scratch.drop_scratch(spark) == 1 and not folders.exists(spark, kept) and not folders.exists(spark, unused)
+    assert scratch.drop_scratch(spark) == 0
