@@ -39,6 +39,21 @@ def is_small(df: DataFrame, limit: int) -> bool:
 ROWS = 512
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of at most ``rows``. The memory of a batch goes back to the system before the next one is read: a
+    worker lives on after its task, and would keep the most it ever had.
+
+    That takes a caller that holds on to no batch when it asks for the next.
+    """
+    pool = pa.default_memory_pool()
+    for whole in batches:
+        for first in range(0, whole.num_rows, rows):
+            yield whole.slice(first, rows)
+            pool.release_unused()
+        del whole
+    pool.release_unused()
+
+
 def with_columns(
     docs: DataFrame,
     inputs: Sequence[str],
@@ -53,19 +68,21 @@ def with_columns(
     """
     taken = {f.name.lower() for f in new.fields}
     kept = [f for f in docs.schema.fields if f.name.lower() not in taken]
-    hidden = [f"__in{i}" for i in range(len(inputs))]
     names = [f.name for f in kept]
+    # An input that stays is sent to the worker once, under its own name.
+    hidden = {name: f"__in{i}" for i, name in enumerate(inputs) if names.count(name) != 1}
+    sent = [*names, *hidden.values()]
+    places = [sent.index(hidden.get(name, name)) for name in inputs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for whole in batches:
-            for first in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(first, ROWS)
-                columns = batch.columns
-                made = work(*columns[len(names) :])
-                yield pa.RecordBatch.from_arrays([*columns[: len(names)], *made], names=[*names, *new.names])
-
-    given = [ref(name).alias(h) for name, h in zip(inputs, hidden)]
+        for batch in slices(batches, ROWS):
+            columns = batch.columns
+            made = work(*[columns[at] for at in places])
+            yield pa.RecordBatch.from_arrays([*columns[: len(names)], *made], names=[*names, *new.names])
+            del batch, columns, made
+
+    given = [ref(name).alias(h) for name, h in hidden.items()]
     return docs.select(*[ref(n) for n in names], *given).mapInArrow(run, StructType([*kept, *new.fields]))
 
 

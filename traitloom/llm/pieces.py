@@ -23,11 +23,17 @@ CACHED_CHARS, CACHED_CHUNKS = 48, 300_000
 SHORT = 40
 NEVER = float("inf")
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
-_WORDS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-_RUNS = re.compile(f"{SPACE}*(?:[{_LETTERS}]+|[^{SPACE}{_LETTERS}]+)|{SPACE}+")
 _ONE_RUN = re.compile(f"{SPACE}*(?:[{_LETTERS}]*|[^{SPACE}{_LETTERS}]*)")
 
 
+def _words(mark: str) -> re.Pattern:
+    return re.compile(f"{mark}+[^{mark}]*|[^{mark}]+")
+
+
+def _runs(mark: str) -> re.Pattern:
+    return re.compile(f"{mark}*(?:[{_LETTERS}]+|[^{mark}{_LETTERS}]+)|{mark}+")
+
+
 class MergeVocabulary:
     """Pieces and scores of a model, and the merge procedure over them.
 
@@ -55,16 +61,18 @@ class MergeVocabulary:
         self.byte_of = {i: b for b, i in self.bytes_at.items()}
         self.piece_of = {i: piece for piece, (_, i) in self.merges.items()}
         self.ids = {piece: i for piece, (_, i) in self.merges.items()}
+        # Whether the model leaves text as it is but for the space mark in front and in place of spaces.
+        probe = "A  b\téﬁ① \n c "
+        self.plain = sp.normalize(probe) == SPACE + probe.replace(" ", SPACE)
+        # A chunk has spaces for space marks, unless the model has both: it is then the text that its ids stand for.
+        self.mark = SPACE if " " in sp.normalize(probe) else " "
         if any(SPACE in piece.lstrip(SPACE) for piece in self.merges):
             self.cut = lambda text: [text]
         elif all(_ONE_RUN.fullmatch(piece) for piece in self.merges):
-            self.cut = _RUNS.findall
+            self.cut = _runs(self.mark).findall
         else:
-            self.cut = _WORDS.findall
-        # Whether the model leaves text as it is but for the space mark in front and in place of spaces.
-        probe = "A  b\téﬁ① \n c "
-        self.plain = sp.normalize(probe) == SPACE + probe.replace(" ", SPACE)
-        self.cache: dict[str, tuple[bytes, str]] = {}
+            self.cut = _words(self.mark).findall
+        self.cache: dict[str, bytes | tuple[bytes, str]] = {}
         self.fresh: list[tuple[str, list[int]]] = []
 
     def symbols(self, text: str) -> list[str]:
@@ -142,15 +150,18 @@ class MergeVocabulary:
             out.append(pending.decode("utf-8", "replace"))
         return "".join(out).replace(SPACE, " ")
 
-    def chunk(self, text: str) -> tuple[bytes, str]:
-        """Ids as 32-bit numbers and the text they stand for."""
+    def chunk(self, text: str) -> bytes | tuple[bytes, str]:
+        """Ids as 32-bit numbers; with the text they stand for where that is not the chunk itself."""
         known = self.cache.get(text)
         if known is None:
-            ids = self.ids_of(self.symbols(text))
+            marked = text.replace(self.mark, SPACE)
+            ids = self.ids_of(self.symbols(marked))
             plain = self.plain_text(ids)
-            if self.check and self.plain and text[0] == SPACE and len(text) > 1:  # the library puts the first mark there itself
-                self.fresh.append((text[1:], ids))
-            known = array("i", ids).tobytes(), plain
+            if self.check and self.plain and marked[0] == SPACE and len(text) > 1:  # the library puts the first mark there itself
+                self.fresh.append((marked[1:], ids))
+            known = array("i", ids).tobytes()
+            if plain != text:
+                known = known, plain
             if len(text) <= CACHED_CHARS:
                 if len(self.cache) >= CACHED_CHUNKS:
                     self.cache.clear()
@@ -177,10 +188,14 @@ class MergeVocabulary:
         """
         if not text:
             return b"", ""
-        normal = SPACE + text.replace(" ", SPACE) if self.plain else self.library.normalize(text)
-        found = list(map(self.chunk, self.cut(normal)))
-        decoded = "".join([part[1] for part in found])
-        return b"".join([part[0] for part in found]), decoded[1:] if decoded.startswith(" ") else decoded
+        normal = SPACE + text if self.plain else self.library.normalize(text)
+        chunks = self.cut(normal.replace(SPACE, self.mark))
+        found = list(map(self.chunk, chunks))
+        if tuple in set(map(type, found)):
+            chunks = [c if type(f) is bytes else f[1] for c, f in zip(chunks, found)]
+            found = [f if type(f) is bytes else f[0] for f in found]
+        decoded = "".join(chunks)
+        return b"".join(found), decoded[1:] if decoded.startswith(" ") else decoded
 
 
 @lru_cache(maxsize=1)
