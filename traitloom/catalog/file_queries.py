@@ -102,15 +102,27 @@ def src_csv(spark, sf_dir):
     return read_csv(spark, write_csv_blank(orders, scratch_folder(spark, "orders")), orders.schema)
 
 
+#: Bytes of the table that go into one CSV file: several ranges, whatever the size of the table.
+_FILE_BYTES = 256 << 20
+
+
+def _files_for(docs):
+    """In how many files the rows of a stored table are written."""
+    files = docs.select("_metadata.file_path", "_metadata.file_size").distinct()
+    size = files.agg(F.sum("file_size").alias("size")).first()["size"] or 0
+    return max(1, -(-size // _FILE_BYTES))
+
+
 @query(
     "src_csv_multiline",
     """SELECT doc_id, coalesce(nullif(text, 'NA'), '') AS text, coalesce(nullif(lang, 'NA'), '') AS lang,
     coalesce(nullif(source, 'NA'), '') AS source, n_chars FROM documents""",
 )
 def src_csv_multiline(spark, sf_dir):
-    """All texts in one file; its ranges are read by many tasks, most of them beginning within a quoted text."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
-    path = write_csv_blank(docs.coalesce(1), scratch_folder(spark, "documents"))
+    """All texts in few large files; their ranges are read by many tasks, most of them beginning within a quoted text."""
+    whole = table(spark, sf_dir, "documents")
+    docs = whole.select("doc_id", "text", "lang", "source", "n_chars")
+    path = write_csv_blank(docs.coalesce(_files_for(whole)), scratch_folder(spark, "documents"))
     return read_csv(spark, path, docs.schema, split=True)
 
 
