@@ -47,11 +47,11 @@ def checked_lines(spark: SparkSession, path: str, schema: StructType | None = No
     lines = whole.schema(StructType([*schema, StructField(_UNREAD, StringType())])).csv(path)
     require(lines, EAV_COLUMNS)
 
-    split = F.transform(F.split(_UNREAD, "\t", -1), lambda field: F.trim(field, F.lit(_AROUND)))
-    lines = lines.select(F.col("_metadata.file_path").alias("__file"), "*", split.alias("__fields"))
+    # Paid for by every line: no higher-order function, at which generated code would end, and no file name but for a reject.
+    lines = lines.select("*", F.split(_UNREAD, "\t", -1).alias("__fields"))
     columns, bad = [], F.lit(False)
     for i, f in enumerate(schema):
-        again = F.get(F.col("__fields"), F.lit(i))
+        again = F.trim(F.get(F.col("__fields"), F.lit(i)), F.lit(_AROUND))
         if isinstance(f.dataType, StringType):
             # The parser makes a blank field a missing one.
             value = F.coalesce(F.when(F.col(_UNREAD).isNull(), ref(f.name)).otherwise(again), F.lit(""))
@@ -64,11 +64,13 @@ def checked_lines(spark: SparkSession, path: str, schema: StructType | None = No
     size = F.size("__fields")
     reason = F.when(size < len(schema), SHORT).when(size > len(schema), LONG).when(bad, NOT_WHOLE)
     reason = F.when(F.col(_UNREAD).isNotNull(), reason)
-    found = lines.select("__file", _UNREAD, reason.alias("__reason"), *columns)
+    found = lines.select(_UNREAD, reason.alias("__reason"), *columns)
     names = [ref(f.name) for f in schema]
     rejected = F.col("__reason").isNotNull()
+    # As ``_metadata.file_path`` has it: without the empty host of a local file.
+    file = F.regexp_replace(F.input_file_name(), r"^([\w+.-]+):///", "$1:/")
     return found.select(
-        F.when(rejected, F.col("__file")).alias("file"), F.when(rejected, F.col(_UNREAD)).alias("line"), F.col("__reason").alias("reason"), *names
+        F.when(rejected, file).alias("file"), F.when(rejected, F.col(_UNREAD)).alias("line"), F.col("__reason").alias("reason"), *names
     )
 
 
